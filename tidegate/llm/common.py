@@ -119,11 +119,17 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 SAFE_CHUNK = re.compile(r"(?s).[^ \n]*(?:(?<=\s)[ \n]+[^ \n]*)*")
 
 
+#: Where a blank stands behind white space it is no safe cut.
+_BLANK_AFTER_SPACE = re.compile(r"\s ").search
+
+
 class ChunkMemo:
     """Bytes of each text, put together from a bounded memo of its chunks between safe cuts.
 
-    ``compute`` maps a list of chunks to their bytes. The memo has two generations: when the young one is full it
-    becomes the old one, and what is used again moves over. Chunks over ``longest`` characters are never kept.
+    ``compute`` maps a list of chunks to their bytes. Texts without a blank behind other white space, nearly all, are
+    cut at every blank, and their parts (but the first) stand for chunks that begin with that blank; other texts are
+    cut by ``SAFE_CHUNK``. The memo has two generations: when the young one is full it becomes the old one, and what is
+    used again moves over. Parts over ``longest`` characters are never kept.
     """
 
     def __init__(self, compute: Callable[[list[str]], list[bytes]], limit: int = 500_000, longest: int = 200):
@@ -135,19 +141,31 @@ class ChunkMemo:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        cut = [SAFE_CHUNK.findall(t) for t in texts]
+        first: list[list[str]] = []
+        cut: list[list[str]] = []
+        for text in texts:
+            if _BLANK_AFTER_SPACE(text):
+                first.append(SAFE_CHUNK.findall(text))
+                cut.append([])
+            else:
+                parts = text.split(" ")
+                first.append(parts[:1])
+                cut.append(parts[1:])
         unseen = []
-        for chunk in set().union(*cut).difference(young):
-            value = old.get(chunk)
+        for part in set().union(*cut).difference(young):
+            value = old.get(part)
             if value is None:
-                unseen.append(chunk)
+                unseen.append(part)
             else:
-                young[chunk] = value
-        young.update(zip(unseen, self.compute(unseen), strict=True))
-        out = [b"".join(map(young.__getitem__, chunks)) for chunks in cut]
-        for chunk in unseen:
-            if len(chunk) > self.longest:
-                del young[chunk]
+                young[part] = value
+        others = list(set().union(*first).difference(("",)))
+        made = self.compute([f" {part}" for part in unseen] + others)
+        young.update(zip(unseen, made, strict=False))
+        other = dict(zip(others, made[len(unseen) :], strict=True)) | {"": b""}
+        out = [b"".join([*map(other.__getitem__, a), *map(young.__getitem__, b)]) for a, b in zip(first, cut, strict=True)]
+        for part in unseen:
+            if len(part) > self.longest:
+                del young[part]
         return out
 
 

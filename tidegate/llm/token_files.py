@@ -33,9 +33,7 @@ MAGIC = b"TGSV1\n"
 _HEAD = struct.Struct("<IIIII")
 BLOCK_IDS = 1 << 20
 #: Lengths of the four numbers of each control byte.
-_LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
-_TOTAL = _LENGTHS.sum(1)
-_PART = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+_LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -45,19 +43,19 @@ def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     codes = np.zeros(-(-len(code) // 4) * 4, np.uint8)
     codes[: len(code)] = code
     control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
-    data = numbers.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
+    most = int(code.max(initial=0)) + 1
+    data = numbers.view(np.uint8).reshape(-1, 4)[:, :most][np.arange(most, dtype=np.uint8) <= code[:, None]]
     return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    ends = np.cumsum(lengths)
+    at = np.cumsum(lengths, dtype=np.int64) - lengths
     padded = np.frombuffer(data + b"\0\0\0", np.uint8)
-    at = ends - lengths
     out = padded[at].astype(np.uint32)
-    for k in (1, 2, 3):
-        out |= padded[at + k].astype(np.uint32) << np.uint32(8 * k) if k < 3 or (lengths > 3).any() else np.uint32(0)
-    return out & _PART[lengths]
+    for k in range(1, int(lengths.max(initial=1))):
+        out |= np.where(lengths > k, padded[at + k].astype(np.uint32) << np.uint32(8 * k), np.uint32(0))
+    return out
 
 
 def write_block(doc_ids: list, counts: list[int], ranks: np.ndarray) -> bytes:
@@ -89,38 +87,67 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
 
 
-_loaded: dict[str, ChunkMemo] = {}
+_loaded: dict[str, Library] = {}
 
 
-def library_memo(tokenizer: str) -> ChunkMemo:
-    """Ids of texts by the tokenizers library; chunks between safe cuts are encoded once and remembered."""
-    if tokenizer not in _loaded:
+class Library:
+    """Ids of texts by the tokenizers library, as bytes of ``kind``; chunks between safe cuts are encoded once.
+
+    Chunks that begin with a blank and end with no white space go to the library many at a time as one text, and the
+    bytes that each token stands for tell where a chunk's ids end. If they ever disagree, chunks are encoded singly.
+    """
+
+    def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
-
-        def encode(chunks: list[str]) -> list[bytes]:
-            out: list[bytes] = []
-            for at in range(0, len(chunks), 20_000):
-                found = library.encode_batch_fast(chunks[at : at + 20_000], add_special_tokens=False)
-                ids = [x.ids for x in found]
-                ends = np.append(0, np.cumsum([len(x) for x in ids])) * 4
-                data = np.fromiter((i for x in ids for i in x), "<u4", ends[-1] // 4).tobytes()
-                ends = ends.tolist()
-                out += [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-            return out
-
-        _loaded[tokenizer] = ChunkMemo(encode)
+        self.library = Tokenizer.from_file(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
+        vocabulary = self.library.get_vocab()
+        self.kind = np.dtype("<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4")
+        self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.width[i] = len(token)  # a byte-level token has a character for each byte
+        for i, token in self.library.get_added_tokens_decoder().items():
+            self.width[i] = len(token.content.encode("utf-8"))
+        self.memo = ChunkMemo(self.encode, 600_000)
+
+    def encode(self, chunks: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(chunks)
+        joint = [k for k, c in enumerate(chunks) if c[0] == " " and not c[-1].isspace()]
+        single = [k for k, c in enumerate(chunks) if c[0] != " " or c[-1].isspace()]
+        for at in range(0, len(joint), 50_000):
+            part = joint[at : at + 50_000]
+            texts = [chunks[k] for k in part]
+            ends = np.cumsum(np.fromiter((len(t.encode("utf-8")) for t in texts), np.int64, len(texts)))
+            found = self.library.encode_batch_fast(["".join(texts[i : i + 500]) for i in range(0, len(texts), 500)], add_special_tokens=False)
+            ids = np.concatenate([np.array(x.ids, self.kind) for x in found])
+            reached = np.cumsum(self.width[ids])
+            stops = np.searchsorted(reached, ends) + 1
+            if stops[-1] != len(ids) or (reached[stops - 1] != ends).any():
+                single += part
+                continue
+            data, stops = ids.tobytes(), (stops * self.kind.itemsize).tolist()
+            for k, a, b in zip(part, [0, *stops], stops, strict=False):
+                out[k] = data[a:b]
+        for at in range(0, len(single), 20_000):
+            part = single[at : at + 20_000]
+            for k, x in zip(part, self.library.encode_batch_fast([chunks[k] for k in part], add_special_tokens=False), strict=True):
+                out[k] = np.array(x.ids, self.kind).tobytes()
+        return out
+
+
+def library(tokenizer: str) -> Library:
+    if tokenizer not in _loaded:
+        _loaded[tokenizer] = Library(tokenizer)
     return _loaded[tokenizer]
 
 
-def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit), the end id included."""
+def _encoded(docs: DataFrame, tokenizer: str, end_id: int, kind: np.dtype) -> DataFrame:
+    """doc_id and ids (little-endian integers of ``kind``), the end id included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, end = library_memo(tokenizer), np.array([end_id], "<u4").tobytes()
+        memo, end = library(tokenizer).memo, np.array([end_id], kind).tobytes()
         for batch in slices(batches):
             ids = [x + end for x in memo([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "ids": pa.array(ids, pa.binary())})
@@ -128,13 +155,13 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def _frequencies(encoded: DataFrame) -> np.ndarray:
+def _frequencies(encoded: DataFrame, kind: np.dtype) -> np.ndarray:
     """Ids by falling frequency, ties by id: at most one row per vocabulary entry ever reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in slices(batches):
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind)
             seen = np.bincount(ids, minlength=len(total)).astype(np.int64)
             seen[: len(total)] += total
             total = seen
@@ -152,8 +179,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_5
     """
     spark = docs.sparkSession
     ship(spark)
-    encoded = table(_encoded(docs, tokenizer, end_id), "token-ids")
-    by_rank = _frequencies(encoded)
+    kind = library(tokenizer).kind
+    encoded = table(_encoded(docs, tokenizer, end_id, kind), "token-ids")
+    by_rank = _frequencies(encoded, kind)
     store, root = open_store(folder)
     store.create_dir(root, recursive=True)
     with store.open_output_stream(f"{root}/ranks.bin") as out:
@@ -179,7 +207,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_5
                 if out is None:
                     out, first = store.open_output_stream(attempt), doc_id
                     out.write(MAGIC)
-                ids = np.frombuffer(data, "<u4")
+                ids = np.frombuffer(data, kind)
                 names.append(doc_id)
                 counts.append(len(ids))
                 parts.append(rank_of[ids])

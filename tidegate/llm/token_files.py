@@ -110,7 +110,7 @@ class Library:
             self.width[i] = len(token)  # a byte-level token has a character for each byte
         for i, token in self.library.get_added_tokens_decoder().items():
             self.width[i] = len(token.content.encode("utf-8"))
-        self.memo = ChunkMemo(self.encode, 600_000)
+        self.memo = ChunkMemo(self.encode, 900_000)
 
     def encode(self, chunks: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(chunks)
@@ -119,7 +119,7 @@ class Library:
         for at in range(0, len(joint), 50_000):
             part = joint[at : at + 50_000]
             texts = [chunks[k] for k in part]
-            ends = np.cumsum(np.fromiter((len(t.encode("utf-8")) for t in texts), np.int64, len(texts)))
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, texts)), np.int64, len(texts)))
             found = self.library.encode_batch_fast(["".join(texts[i : i + 500]) for i in range(0, len(texts), 500)], add_special_tokens=False)
             ids = np.concatenate([np.array(x.ids, self.kind) for x in found])
             reached = np.cumsum(self.width[ids])
@@ -199,7 +199,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_5
 
         def flush() -> None:
             nonlocal names, counts, parts, held
-            out.write(write_block(names, counts, np.concatenate(parts)))
+            out.write(write_block(names, counts, rank_of[np.frombuffer(b"".join(parts), kind)]))
             names, counts, parts, held = [], [], [], 0
 
         for batch in slices(batches):
@@ -207,11 +207,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_5
                 if out is None:
                     out, first = store.open_output_stream(attempt), doc_id
                     out.write(MAGIC)
-                ids = np.frombuffer(data, kind)
+                n = len(data) // kind.itemsize
                 names.append(doc_id)
-                counts.append(len(ids))
-                parts.append(rank_of[ids])
-                held, docs_n, ids_n = held + len(ids), docs_n + 1, ids_n + len(ids)
+                counts.append(n)
+                parts.append(data)
+                held, docs_n, ids_n = held + n, docs_n + 1, ids_n + n
                 if held >= BLOCK_IDS:
                     flush()
         if out is not None:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import documents, ship, slices
 
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 2000, 8000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 1500, 5000
 THRESHOLD = 0.7
 ROUNDS = 25
 _WORDS = re.compile(r"\w+").findall
@@ -204,7 +204,7 @@ def fit_field(texts: list[str], toxic: np.ndarray) -> Field:
         whole = 1 + a + b + c
         both = mask[1:]
         expected = np.array([p.sum(), (a / whole)[both].sum(), (b / whole)[both].sum(), (c / whole)[both].sum()])
-        slope = np.concatenate((target - np.bincount(what, p.ravel()[where], len(names)), seen - expected)) - 0.05 * moves
+        slope = np.concatenate((target - np.bincount(what, p.ravel()[where], len(names)), seen - expected)) - 0.2 * moves
         turn = np.sign(slope) * np.sign(before)
         speed = np.clip(speed * np.where(turn > 0, 1.3, np.where(turn < 0, 0.5, 1.0)), 1e-4, 1.0)
         moves = moves + np.sign(slope) * speed

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.plans import etl_queries
+from tidegate.plans import etl_queries, run_log
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(etl_queries.QUERIES)
+    return etl_queries.QUERIES | run_log.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(etl_queries.ORACLES)
+    return etl_queries.ORACLES | run_log.ORACLES

@@ -44,7 +44,7 @@ class Entity:
     def latest_rows(self, rows: DataFrame) -> DataFrame:
         """One row per key: the last modified, ties by all other columns, so the choice never depends on row order."""
         rest = [c for c in rows.columns if c not in (self.key, *self.latest)]
-        order = [F.col(c).desc_nulls_last() for c in (*self.latest, *rest)]
+        order = [F.col(c).desc_nulls_last() for c in (*self.latest, *rest) if c in rows.columns]
         return rows.withColumn("_n", F.row_number().over(Window.partitionBy(self.key).orderBy(*order))).where("_n = 1").drop("_n")
 
 

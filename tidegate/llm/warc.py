@@ -127,7 +127,7 @@ def read_records(source) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def plain_text(page: str) -> str:
-    text = _TAG.sub("", _BREAK.sub("\n", _SILENT.sub(" ", page)))
+    text = _TAG.sub("", _BREAK.sub("\n", _SILENT.sub(" ", page).replace("\n", " ").replace("\r", " ")))
     lines = (" ".join(x.split()) for x in html.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 

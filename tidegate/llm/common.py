@@ -119,8 +119,12 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 SAFE_CHUNK = re.compile(r"(?s).[^ \n]*(?:(?<=\s)[ \n]+[^ \n]*)*")
 
 
-#: Where a blank stands behind white space it is no safe cut.
-_BLANK_AFTER_SPACE = re.compile(r"\s ").search
+_SPACES = [chr(c) for c in range(0x3001) if c != 32 and re.match(r"\s", chr(c))]
+
+
+def _blank_after_space(text: str) -> bool:
+    """Whether a blank stands behind white space, where it is no safe cut."""
+    return "  " in text or any(f"{c} " in text for c in _SPACES if c in text)
 
 
 class ChunkMemo:
@@ -141,36 +145,28 @@ class ChunkMemo:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        singles: list[list[str]] = []
-        found: list[tuple[list[str], list, list[int]]] = []
-        unseen: dict[str, None] = {}
+        first: list[list[str]] = []
+        cut: list[list[str]] = []
         for text in texts:
-            if _BLANK_AFTER_SPACE(text):
-                singles.append(SAFE_CHUNK.findall(text))
-                found.append(([], [], []))
-                continue
-            parts = text.split(" ")
-            singles.append([parts[0]])
-            parts[0] = ""
-            values = list(map(young.get, parts))
-            values[0] = b""
-            missing = [k for k, v in enumerate(values) if v is None]
-            for k in missing:
-                value = old.get(parts[k])
-                if value is None:
-                    unseen[parts[k]] = None
-                else:
-                    young[parts[k]] = value
-            found.append((parts, values, missing))
-        others = list(set().union(*singles).difference(("",)))
+            if _blank_after_space(text):
+                first.append(SAFE_CHUNK.findall(text))
+                cut.append([])
+            else:
+                parts = text.split(" ")
+                first.append(parts[:1])
+                cut.append(parts[1:])
+        unseen = []
+        for part in set().union(*cut).difference(young):
+            value = old.get(part)
+            if value is None:
+                unseen.append(part)
+            else:
+                young[part] = value
+        others = list(set().union(*first).difference(("",)))
         made = self.compute([f" {part}" for part in unseen] + others)
         young.update(zip(unseen, made, strict=False))
         other = dict(zip(others, made[len(unseen) :], strict=True)) | {"": b""}
-        out = []
-        for single, (parts, values, missing) in zip(singles, found, strict=True):
-            for k in missing:
-                values[k] = young[parts[k]]
-            out.append(b"".join([*map(other.__getitem__, single), *values]))
+        out = [b"".join([*map(other.__getitem__, a), *map(young.__getitem__, b)]) for a, b in zip(first, cut, strict=True)]
         for part in unseen:
             if len(part) > self.longest:
                 del young[part]

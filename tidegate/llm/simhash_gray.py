@@ -14,6 +14,11 @@ A key with more than ``LIMIT`` fingerprints is refined exactly: what is equal is
 blocks again, and so on; for a radius of 2, at most 256 distinct fingerprints can share a key after three steps. So no
 task ever holds an unbounded group, whatever the copies. (A greater radius has more tables and is refined once.)
 
+Documents of likeness 0.8 differ in too many of 64 bits for blocks of a useful length. For them (``wide_apart``) three
+further fingerprints of remixed hashes go along. The blocks of the first, and then of the second, choose the keys, the
+index searches to ``WIDE_REACH`` bits of that one, and a pair links if at most ``wide_apart`` of all 256 bits differ.
+Pairs within the radius all meet; of pairs that differ in more bits of both, those with two equal blocks in one.
+
 Defined results: a null text is the empty text; without words the fingerprint is zero and linked like any other;
 repeated rows each give their row; a null doc_id links with nothing and has a null component_id; an empty table gives
 no rows; extra columns are ignored.
@@ -34,10 +39,30 @@ from tidegate.llm.common import connected_components, documents, settle, ship, s
 RADIUS = 2
 LIMIT = 4096
 FANOUT = 8
+#: The further fingerprints' columns, and how many bits of the first may differ where these decide.
+WIDE = ("wide1", "wide2", "wide3")
+WIDE_REACH = 16
 _PIECE = 1 << 15
 
 
+def _remixed(h: np.ndarray, count: int) -> np.ndarray:
+    """(n, count): the hashes and further ones made of them by the finalizer of SplitMix64."""
+    out = np.empty((len(h), count), np.uint64)
+    out[:, 0] = h
+    for k in range(1, count):
+        z = h + np.uint64(0x9E3779B97F4A7C15 * k & (1 << 64) - 1)
+        z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        out[:, k] = z ^ z >> np.uint64(31)
+    return out
+
+
 def fingerprint(text: str, words_in_run: int = 3) -> int:
+    return int(sketch(text, words_in_run, 1)[0])
+
+
+def sketch(text: str, words_in_run: int, count: int) -> np.ndarray:
+    """The fingerprint and ``count`` - 1 further ones."""
     import xxhash
 
     words = text.encode("utf-8").lower().split()  # of bytes: only A-Z changes, and only ASCII white space divides
@@ -48,23 +73,27 @@ def fingerprint(text: str, words_in_run: int = 3) -> int:
     else:
         runs = map(b" ".join, zip(*(words[k:] for k in range(words_in_run)), strict=False))
     hashes = map(xxhash.xxh64_intdigest, runs, repeat(42))
-    votes = np.zeros(64, np.int64)
+    votes = np.zeros(64 * count, np.int64)
     for at in range(0, n, _PIECE):
         h = np.fromiter(hashes, np.uint64, min(_PIECE, n - at))
-        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
+        bits = np.unpackbits(_remixed(h, count).view(np.uint8), axis=1, bitorder="little")
+        votes += bits.sum(0, dtype=np.int64)
+    return np.packbits(votes * 2 > n, bitorder="little").view("<u8")
 
 
-def fingerprints(docs: DataFrame, words_in_run: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed 64-bit integer) of each row."""
+def fingerprints(docs: DataFrame, words_in_run: int = 3, wide: bool = False) -> DataFrame:
+    """doc_id and fp (the fingerprint as a signed 64-bit integer) of each row, with the further ones if ``wide``."""
     ship(docs.sparkSession)
+    names = ("fp", *WIDE) if wide else ("fp",)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = np.array([fingerprint(t or "", words_in_run) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(found, pa.int64())})
+            found = [sketch(t or "", words_in_run, len(names)) for t in batch.column(1).to_pylist()]
+            columns = np.array(found, np.uint64).reshape(-1, len(names)).T.copy().view(np.int64)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0)} | {c: pa.array(x, pa.int64()) for c, x in zip(names, columns, strict=True)})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    schema = ", ".join(f"{c} long" for c in ("doc_id", *names))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def gray_rank(fp: Column) -> Column:
@@ -132,7 +161,7 @@ class GrayIndex:
         return q[keep], node[keep]
 
 
-def linked(fp: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
+def linked(fp: np.ndarray, starts: np.ndarray, radius: int, wide: tuple[np.ndarray, ...] = (), wide_apart: int | None = None) -> np.ndarray:
     """For each fingerprint the first position of its component inside its group."""
     index, n = GrayIndex(fp, starts), len(fp)
     sizes = np.diff(np.append(starts, n))
@@ -143,29 +172,35 @@ def linked(fp: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
     while at < n:  # a few queries at a time, so candidates fit in memory even where all fingerprints are alike
         upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + (1 << 20), "right")))
         queries = np.arange(at, upto)
-        labels = settle(labels, *index.pairs(queries, roots[at:upto], radius))
+        a, b = index.pairs(queries, roots[at:upto], radius if wide_apart is None else WIDE_REACH)
+        if wide_apart is not None:
+            alike = sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in (fp, *wide)) <= wide_apart
+            a, b = a[alike], b[alike]
+        labels = settle(labels, a, b)
         at = upto
     return labels
 
 
-def _search(radius: int):
+def _search(radius: int, wide_apart: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, 2):
-            path, key, fp, rep = (rows.column(k).to_numpy() for k in (0, 1, 2, 3))
+            path, key, fp, rep, *wide = (rows.column(k).to_numpy() for k in range(rows.num_columns))
             opens = np.append(True, (path[1:] != path[:-1]) | (key[1:] != key[:-1]))
             alone = opens & np.append(opens[1:], True)
             fp, rep, opens = fp[~alone].view(np.uint64), rep[~alone], opens[~alone]
             if not len(fp):
                 continue
-            labels = linked(fp, np.flatnonzero(opens), radius)
+            wide = tuple(w[~alone].view(np.uint64) for w in wide)
+            labels = linked(fp, np.flatnonzero(opens), radius, wide, wide_apart)
             moved = np.flatnonzero(labels != np.arange(len(fp)))
             yield pa.RecordBatch.from_pydict({"a": pa.array(rep[moved], pa.int64()), "b": pa.array(rep[labels[moved]], pa.int64())})
 
     return run
 
 
-def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFrame:
+def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apart: int | None = None) -> DataFrame:
     """Edges (a, b) between ``rep`` of ``classes`` (fp, rep; fp distinct) whose components are those of all links."""
+    carried = ["fp", "rep"] + [c for c in WIDE if wide_apart is not None]
     spark = classes.sparkSession
     ship(spark)
     found, levels = [], _levels(radius)
@@ -174,34 +209,42 @@ def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataF
         width = len(groups[0])
         arrays = F.array(*[F.array(*[F.lit(_signed(m)).cast("long") for m in group]) for group in groups])
         chosen = F.element_at(arrays, F.col("path") + 1)
-        spread = rows.select("fp", "rep", "path", F.posexplode(chosen).alias("choice", "mask"))
-        spread = table(
-            spread.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "rep", (F.col("path") * width + F.col("choice")).alias("path")),
-            "gray-keys",
-        )
+        spread = rows.select(*carried, "path", F.posexplode(chosen).alias("choice", "mask"))
+        key = F.col("fp").bitwiseAND(F.col("mask")).alias("key")
+        spread = spread.select("mask", key, *carried, (F.col("path") * width + F.col("choice")).alias("path"))
+        if depth:  # the first level is read twice from the written classes, a refined one would redo its joins
+            spread = table(spread, "gray-keys")
         small = spread
         if depth + 1 < len(levels):
             hot = table(spread.groupBy("path", "key").count().where(F.col("count") > limit).select("path", "key"), "gray-hot")
             if not hot.isEmpty():
                 small, rows = spread.join(hot, ["path", "key"], "left_anti"), spread.join(hot, ["path", "key"], "left_semi")
-                rows = rows.select("fp", "rep", "path")
+                rows = rows.select(*carried, "path")
             else:
                 rows = None
-        dealt = small.select(F.col("path").cast("long").alias("path"), "key", "fp", "rep", gray_rank(F.col("fp")).alias("gray"))
+        dealt = small.select(F.col("path").cast("long").alias("path"), "key", *carried, gray_rank(F.col("fp")).alias("gray"))
         dealt = dealt.repartition(shuffle_partitions(spark), "path", "key").sortWithinPartitions("path", "key", "gray")
-        found.append(dealt.drop("gray").mapInArrow(_search(radius), "a long, b long"))
+        found.append(dealt.drop("gray").mapInArrow(_search(radius, wide_apart), "a long, b long"))
         if depth + 1 == len(levels) or rows is None:
             break
     return union_all(found)
 
 
-def components(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFrame:
-    """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once."""
-    classes = table(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "gray-classes")
-    parts = connected_components(links(classes, radius, limit)).withColumnRenamed("node", "rep")
-    named = classes.join(parts, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+def components(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apart: int | None = None) -> DataFrame:
+    """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once.
+
+    With ``wide_apart``, ``prints`` has the further fingerprints too, and documents equal in all of them are one class.
+    """
+    same = ["fp"] + [c for c in WIDE if wide_apart is not None]
+    classes = table(prints.where("doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep")), "gray-classes")
+    edges = links(classes, radius, limit, wide_apart)
+    if wide_apart is not None:  # once more, by keys of the second fingerprint
+        turned = classes.select("rep", F.col("wide1").alias("fp"), F.col("fp").alias("wide1"), "wide2", "wide3")
+        edges = edges.union(links(turned, radius, limit, wide_apart))
+    parts = connected_components(edges).withColumnRenamed("node", "rep")
+    named = classes.join(parts, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
     # Copies make hot fingerprints: a left join lets adaptive execution split the hot side.
-    out = prints.join(named, "fp", "left")
+    out = prints.join(named, same, "left")
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
@@ -211,9 +254,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS, words_in_run: int = 3) -> DataFrame:
+def one_of_each(docs: DataFrame, radius: int = RADIUS, words_in_run: int = 3, wide_apart: int | None = None) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the least of its component; rows without a doc_id stay. All columns are kept."""
-    found = components(table(fingerprints(docs, words_in_run), "gray-prints"), radius)
+    found = components(table(fingerprints(docs, words_in_run, wide_apart is not None), "gray-prints"), radius, wide_apart=wide_apart)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

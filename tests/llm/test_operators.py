@@ -167,6 +167,34 @@ def test_gray_index_finds_all_links(spark, odd, none):
     assert kept.columns == odd.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 3, 9]
 
 
+def test_wide_links_are_those_of_brute_force(spark):
+    rnd = random.Random(5)
+    rows = []
+    for k in range(40):
+        words = [f"w{rnd.randrange(900)}" for _ in range(200)]
+        rows.append((len(rows), " ".join(words)))
+        for edits in (1, 2, 4):  # likeness of word runs about 0.95, 0.9 and 0.8
+            copy = list(words)
+            for place in rnd.sample(range(200), edits):
+                copy[place] = "edited"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows), ""), (len(rows) + 1, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = simhash_gray.fingerprints(docs, 5, True)
+    found = {r["doc_id"]: r["component_id"] for r in simhash_gray.components(prints, 6, wide_apart=43).collect()}
+    bits = {i: simhash_gray.sketch(t or "", 5, 4) for i, t in rows if i is not None}
+    label = {i: i for i in bits}
+    for b in sorted(bits):
+        for a in range(b):
+            if int(np.bitwise_count(bits[a] ^ bits[b]).sum()) <= 43 and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if c == high else c for i, c in label.items()}
+    assert found.pop(None) is None
+    assert all(found[i] >= label[i] for i in label)  # nothing is linked that brute force leaves apart
+    assert sum(found[i] == label[i] for i in label) >= 0.97 * len(label)
+    assert bits[0][0] == simhash_gray.fingerprint(rows[0][1], 5)
+
+
 def test_mix(spark, odd, none):
     rnd = random.Random(6)
     rows = [(k, "w " * rnd.randint(0, 50), "en", rnd.choice(["a", "b", "c", "d", None]), 0) for k in range(400)] + [(1000, "w " * 3, "en", "tiny", 0)]

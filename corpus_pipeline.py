@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegate.llm import bpe, mixing, simhash_gray, toxicity
 from tidegate.llm.common import documents, table
 
-#: Runs of five words; two of eight blocks of the first fingerprint choose the keys. Documents with a word-run likeness
-#: of 0.8 differ in 15.1% of the bits on average (angle between their counts), so up to 43 of 256 bits are a link.
-NEAR_WORDS, NEAR_BITS, NEAR_WIDE = 5, 6, 43
+#: Runs of five words, alike from 0.8 on; two of eight blocks of a fingerprint choose the keys. Documents of that
+#: likeness differ in 15.1% of the bits on average (angle between their counts), 38.8 of 256 with a standard deviation
+#: of 5.7. Two and a half deviations more make a candidate, whose word runs are then compared themselves.
+NEAR_WORDS, NEAR_LIKENESS, NEAR_BITS, NEAR_WIDE = 5, 0.8, 6, 53
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least doc_id."""
-    return simhash_gray.one_of_each(docs, NEAR_BITS, NEAR_WORDS, NEAR_WIDE)
+    return simhash_gray.one_of_each(docs, NEAR_BITS, NEAR_WORDS, NEAR_WIDE, NEAR_LIKENESS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,9 @@ Documents of likeness 0.8 differ in too many of 64 bits for blocks of a useful l
 further fingerprints of remixed hashes go along. The blocks of the first, and then of the second, choose the keys, the
 index searches to ``WIDE_REACH`` bits of that one, and a pair links if at most ``wide_apart`` of all 256 bits differ.
 Pairs within the radius all meet; of pairs that differ in more bits of both, those with two equal blocks in one.
+What leaves a task is then a spanning forest of its links, those with the fewest differing bits first. ``alike``
+compares the word runs of each of its pairs themselves and keeps the pairs at or above a likeness, so the bits may be
+chosen wide. (Two parts of a group stay apart only if the closest pair between them, by bits, is not alike in any key.)
 
 Defined results: a null text is the empty text; without words the fingerprint is zero and linked like any other;
 repeated rows each give their row; a null doc_id links with nothing and has a null component_id; an empty table gives
@@ -26,7 +29,7 @@ no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -42,6 +45,7 @@ FANOUT = 8
 #: The further fingerprints' columns, and how many bits of the first may differ where these decide.
 WIDE = ("wide1", "wide2", "wide3")
 WIDE_REACH = 16
+EDGES_A_COPY = 64
 _PIECE = 1 << 15
 
 
@@ -57,12 +61,8 @@ def _remixed(h: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str, words_in_run: int = 3) -> int:
-    return int(sketch(text, words_in_run, 1)[0])
-
-
-def sketch(text: str, words_in_run: int, count: int) -> np.ndarray:
-    """The fingerprint and ``count`` - 1 further ones."""
+def _hashes(text: str, words_in_run: int) -> tuple[int, Iterator[int]]:
+    """How many word runs the text has, and their hashes."""
     import xxhash
 
     words = text.encode("utf-8").lower().split()  # of bytes: only A-Z changes, and only ASCII white space divides
@@ -72,7 +72,22 @@ def sketch(text: str, words_in_run: int, count: int) -> np.ndarray:
         n = len(words[:1])
     else:
         runs = map(b" ".join, zip(*(words[k:] for k in range(words_in_run)), strict=False))
-    hashes = map(xxhash.xxh64_intdigest, runs, repeat(42))
+    return n, map(xxhash.xxh64_intdigest, runs, repeat(42))
+
+
+def likeness(one: str, other: str, words_in_run: int) -> float:
+    """Share of the different word runs of either text that both have; 1 for two texts without words."""
+    a, b = (set(_hashes(t, words_in_run)[1]) for t in (one, other))
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def fingerprint(text: str, words_in_run: int = 3) -> int:
+    return int(sketch(text, words_in_run, 1)[0])
+
+
+def sketch(text: str, words_in_run: int, count: int) -> np.ndarray:
+    """The fingerprint and ``count`` - 1 further ones."""
+    n, hashes = _hashes(text, words_in_run)
     votes = np.zeros(64 * count, np.int64)
     for at in range(0, n, _PIECE):
         h = np.fromiter(hashes, np.uint64, min(_PIECE, n - at))
@@ -161,26 +176,58 @@ class GrayIndex:
         return q[keep], node[keep]
 
 
-def linked(fp: np.ndarray, starts: np.ndarray, radius: int, wide: tuple[np.ndarray, ...] = (), wide_apart: int | None = None) -> np.ndarray:
-    """For each fingerprint the first position of its component inside its group."""
-    index, n = GrayIndex(fp, starts), len(fp)
-    sizes = np.diff(np.append(starts, n))
+def _found(fp: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (positions) within the radius, a few queries at a time, so they fit in memory even where all are alike."""
+    index = GrayIndex(fp, starts)
+    sizes = np.diff(np.append(starts, len(fp)))
     roots = np.repeat(np.arange(len(starts)), sizes)
-    labels = np.arange(n)
     work = np.cumsum(np.repeat(sizes, sizes))
     at = 0
-    while at < n:  # a few queries at a time, so candidates fit in memory even where all fingerprints are alike
+    while at < len(fp):
         upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + (1 << 20), "right")))
-        queries = np.arange(at, upto)
-        a, b = index.pairs(queries, roots[at:upto], radius if wide_apart is None else WIDE_REACH)
-        if wide_apart is not None:
-            alike = sum(np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in (fp, *wide)) <= wide_apart
-            a, b = a[alike], b[alike]
-        labels = settle(labels, a, b)
+        yield index.pairs(np.arange(at, upto), roots[at:upto], radius)
         at = upto
+
+
+def linked(fp: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
+    """For each fingerprint the first position of its component inside its group."""
+    labels = np.arange(len(fp))
+    for a, b in _found(fp, starts, radius):
+        labels = settle(labels, a, b)
     return labels
 
 
+def spanning_forest(n: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Which of the links between ``n`` positions make a minimum spanning forest; of equal ones the first come first."""
+    order = np.argsort(apart, kind="stable")
+    labels, chosen = np.arange(n), []
+    while len(order):
+        la, lb = labels[a[order]], labels[b[order]]
+        order, la, lb = order[la != lb], la[la != lb], lb[la != lb]
+        least = np.full(n, len(order))
+        rank = np.arange(len(order))
+        np.minimum.at(least, la, rank)
+        np.minimum.at(least, lb, rank)
+        best = order[np.unique(least[least < len(order)])]
+        chosen.append(best)
+        labels = settle(labels, a[best], b[best])
+    return np.concatenate([np.zeros(0, np.int64), *chosen])
+
+
+def forest(fp: np.ndarray, starts: np.ndarray, wide: tuple[np.ndarray, ...], wide_apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """A minimum spanning forest, by differing bits, of the pairs with at most ``wide_apart`` of all bits differing."""
+    a = b = apart = np.zeros(0, np.int64)
+    for x, y in _found(fp, starts, WIDE_REACH):
+        bits = sum(np.bitwise_count(w[x] ^ w[y]).astype(np.int64) for w in (fp, *wide))
+        near = bits <= wide_apart
+        a, b, apart = np.append(a, x[near]), np.append(b, y[near]), np.append(apart, bits[near])
+        if len(a) > 1 << 20:  # the forest of a part's forest and the rest is the forest of all
+            keep = spanning_forest(len(fp), a, b, apart)
+            a, b, apart = a[keep], b[keep], apart[keep]
+    keep = spanning_forest(len(fp), a, b, apart)
+    return a[keep], b[keep]
+
+
 def _search(radius: int, wide_apart: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, 2):
@@ -190,10 +237,13 @@ def _search(radius: int, wide_apart: int | None):
             fp, rep, opens = fp[~alone].view(np.uint64), rep[~alone], opens[~alone]
             if not len(fp):
                 continue
-            wide = tuple(w[~alone].view(np.uint64) for w in wide)
-            labels = linked(fp, np.flatnonzero(opens), radius, wide, wide_apart)
-            moved = np.flatnonzero(labels != np.arange(len(fp)))
-            yield pa.RecordBatch.from_pydict({"a": pa.array(rep[moved], pa.int64()), "b": pa.array(rep[labels[moved]], pa.int64())})
+            if wide_apart is None:
+                labels = linked(fp, np.flatnonzero(opens), radius)
+                a = np.flatnonzero(labels != np.arange(len(fp)))
+                b = labels[a]
+            else:
+                a, b = forest(fp, np.flatnonzero(opens), tuple(w[~alone].view(np.uint64) for w in wide), wide_apart)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[b], pa.int64())})
 
     return run
 
@@ -230,10 +280,43 @@ def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apa
     return union_all(found)
 
 
-def components(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apart: int | None = None) -> DataFrame:
+def alike(edges: DataFrame, docs: DataFrame, words_in_run: int, least: float) -> DataFrame:
+    """Those of ``edges`` (a, b: doc_ids) whose texts have a ``likeness`` of ``least`` or more.
+
+    Only texts on an edge are carried. A text on many edges is laid out once for each ``EDGES_A_COPY`` of them, so that
+    no task gathers all edges of a hub. Of rows with one doc_id, any that is alike will do.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = table(edges, "gray-candidates")
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.ceil(F.count("*") / EDGES_A_COPY).cast("int").alias("copies"))
+    ends = table(ends, "gray-ends")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(ends, "node")
+    texts = table(texts, "gray-texts").select("node", "text", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    for one, other in ("ab", "ba"):
+        many = ends.select(F.col("node").alias(one), F.col("copies").alias("copies"))
+        edges = edges.join(many, one).withColumn(f"copy_{one}", F.pmod(F.hash(other), "copies")).drop("copies")
+    for one in "ab":
+        held = texts.select(F.col("node").alias(one), F.col("copy").alias(f"copy_{one}"), F.col("text").alias(f"text_{one}"))
+        edges = edges.join(held, [one, f"copy_{one}"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            keep = pa.array([likeness(x, y, words_in_run) >= least for x, y in pairs], pa.bool_())
+            yield batch.select(["a", "b"]).filter(keep)
+
+    return edges.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def components(
+    prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apart: int | None = None, check: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once.
 
     With ``wide_apart``, ``prints`` has the further fingerprints too, and documents equal in all of them are one class.
+    ``check`` takes the edges between classes' least doc_ids and gives those that hold.
     """
     same = ["fp"] + [c for c in WIDE if wide_apart is not None]
     classes = table(prints.where("doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep")), "gray-classes")
@@ -241,7 +324,7 @@ def components(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide
     if wide_apart is not None:  # once more, by keys of the second fingerprint
         turned = classes.select("rep", F.col("wide1").alias("fp"), F.col("fp").alias("wide1"), "wide2", "wide3")
         edges = edges.union(links(turned, radius, limit, wide_apart))
-    parts = connected_components(edges).withColumnRenamed("node", "rep")
+    parts = connected_components(check(edges) if check else edges).withColumnRenamed("node", "rep")
     named = classes.join(parts, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
     # Copies make hot fingerprints: a left join lets adaptive execution split the hot side.
     out = prints.join(named, same, "left")
@@ -254,9 +337,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS, words_in_run: int = 3, wide_apart: int | None = None) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the least of its component; rows without a doc_id stay. All columns are kept."""
-    found = components(table(fingerprints(docs, words_in_run, wide_apart is not None), "gray-prints"), radius, wide_apart=wide_apart)
+def one_of_each(docs: DataFrame, radius: int = RADIUS, words_in_run: int = 3, wide_apart: int | None = None, least: float | None = None) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is the least of its component; rows without a doc_id stay. All columns are kept.
+
+    With ``least``, texts of different fingerprints link only at that likeness of their word runs or more.
+    """
+    prints = table(fingerprints(docs, words_in_run, wide_apart is not None), "gray-prints")
+    check = None if least is None else lambda edges: alike(edges, docs, words_in_run, least)
+    found = components(prints, radius, wide_apart=wide_apart, check=check)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

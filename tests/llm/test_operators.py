@@ -195,6 +195,54 @@ def test_wide_links_are_those_of_brute_force(spark):
     assert bits[0][0] == simhash_gray.fingerprint(rows[0][1], 5)
 
 
+def test_spanning_forest_joins_what_links_join_by_the_closest():
+    rnd = np.random.default_rng(3)
+    for n, m in ((1, 0), (6, 0), (30, 25), (40, 300)):
+        a = rnd.integers(0, n, m)
+        b = (a + rnd.integers(1, max(n, 2), m)) % n
+        apart = rnd.integers(0, 6, m)
+        keep = simhash_gray.spanning_forest(n, a, b, apart)
+        label, weight, links = list(range(n)), 0, 0
+        for k in sorted(range(m), key=lambda k: (apart[k], k)):  # one link at a time
+            x, y = label[a[k]], label[b[k]]
+            if x != y:
+                label = [x if z == y else z for z in label]
+                weight, links = weight + apart[k], links + 1
+        assert len(keep) == len(set(keep.tolist())) == links and apart[keep].sum() == weight
+
+
+def test_likeness_decides_over_wide_candidates(spark, none):
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(30):
+        words = [f"w{rnd.randrange(900)}" for _ in range(150)]
+        for edits in (0, 1, 3, 6, 12):
+            copy = list(words)
+            for place in rnd.sample(range(150), edits):
+                copy[place] = "edited"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows) + k, t) for k, t in enumerate(["", None, "one two", "One  two", "one three", "x " * 50_000, rows[0][1], rows[1][1]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("extra"))
+    kept = {r["doc_id"] for r in simhash_gray.one_of_each(docs, 6, 5, 53, 0.8).collect()}
+    label = dict(enumerate(range(len(rows))))
+    near = 0
+    for y, (_, two) in enumerate(rows):
+        for x in range(y):
+            if simhash_gray.likeness(rows[x][1] or "", two or "", 5) >= 0.8 and label[x] != label[y]:
+                low, high = sorted((label[x], label[y]))
+                label, near = {k: low if c == high else c for k, c in label.items()}, near + 1
+    brute = {k for k, c in label.items() if k == c}
+    # At likeness 0.8 a bit agrees with probability 0.849, so two of eight blocks agree in one of two fingerprints with
+    # probability 0.9; half of these copies are that far apart.
+    assert near > 40 and brute <= kept and len(kept - brute) <= 0.1 * near
+    every = spark.createDataFrame([(x, y) for x in range(40) for y in range(40)], "a long, b long")
+    found = sorted(tuple(r) for r in simhash_gray.alike(every, docs, 5, 0.8).collect())
+    assert found == [(x, y) for x in range(40) for y in range(x + 1, 40) if simhash_gray.likeness(rows[x][1], rows[y][1], 5) >= 0.8]
+    assert simhash_gray.likeness("a b c", "a b  C", 5) == 1 and simhash_gray.likeness("", " ", 5) == 1 and simhash_gray.likeness("a", "", 5) == 0
+    assert simhash_gray.alike(every.limit(0), docs, 5, 0.8).count() == 0
+    assert simhash_gray.one_of_each(none, 6, 5, 53, 0.8).count() == 0
+
+
 def test_mix(spark, odd, none):
     rnd = random.Random(6)
     rows = [(k, "w " * rnd.randint(0, 50), "en", rnd.choice(["a", "b", "c", "d", None]), 0) for k in range(400)] + [(1000, "w " * 3, "en", "tiny", 0)]

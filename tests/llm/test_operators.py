@@ -243,6 +243,21 @@ def test_likeness_decides_over_wide_candidates(spark, none):
     assert simhash_gray.one_of_each(none, 6, 5, 53, 0.8).count() == 0
 
 
+def test_hot_keys_lose_no_wide_links(spark):
+    """Pairs that share one key, a hot one: a bit differs in every other block, and in every block of what is left."""
+    rnd = random.Random(11)
+    further, other = sum(1 << b for b in (16, 22, 28, 34, 40, 46, 52, 58)), sum(1 << b for b in range(0, 64, 8))
+    rows = []
+    for _ in range(100):
+        prints = [rnd.getrandbits(48) << 16] + [rnd.getrandbits(64) for _ in range(3)]
+        rows += [prints, [prints[0] ^ further] + [p ^ other for p in prints[1:]]]
+    signed = [(k, *(p - (1 << 64) if p >> 63 else p for p in r)) for k, r in enumerate(rows)]
+    prints = spark.createDataFrame(signed, "doc_id long, fp long, wide1 long, wide2 long, wide3 long")
+    for limit in (8, 100_000):
+        found = {r["doc_id"]: r["component_id"] for r in simhash_gray.components(prints, 6, limit=limit, wide_apart=32).collect()}
+        assert all(found[k] == k // 2 * 2 for k in range(200))
+
+
 def test_mix(spark, odd, none):
     rnd = random.Random(6)
     rows = [(k, "w " * rnd.randint(0, 50), "en", rnd.choice(["a", "b", "c", "d", None]), 0) for k in range(400)] + [(1000, "w " * 3, "en", "tiny", 0)]

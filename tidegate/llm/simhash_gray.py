@@ -15,9 +15,10 @@ blocks again, and so on; for a radius of 2, at most 256 distinct fingerprints ca
 task ever holds an unbounded group, whatever the copies. (A greater radius has more tables and is refined once.)
 
 Documents of likeness 0.8 differ in too many of 64 bits for blocks of a useful length. For them (``wide_apart``) three
-further fingerprints of remixed hashes go along. The blocks of the first, and then of the second, choose the keys, the
-index searches to ``WIDE_REACH`` bits of that one, and a pair links if at most ``wide_apart`` of all 256 bits differ.
-Pairs within the radius all meet; of pairs that differ in more bits of both, those with two equal blocks in one.
+further fingerprints of remixed hashes go along. The blocks of each of the first ``KEYED`` choose the keys, the index
+searches to ``WIDE_REACH`` bits of that one, and a pair links if at most ``wide_apart`` of all 256 bits differ.
+Pairs within the radius all meet; of pairs that differ in more bits of each, those with two equal blocks in one. Here a
+key of more than about ``WIDE_LIMIT`` fingerprints is cut into blocks, any two of which are compared in a task.
 What leaves a task is then a spanning forest of its links, those with the fewest differing bits first. ``alike``
 compares the word runs of each of its pairs themselves and keeps the pairs at or above a likeness, so the bits may be
 chosen wide. (Two parts of a group stay apart only if the closest pair between them, by bits, is not alike in any key.)
@@ -45,8 +46,12 @@ FANOUT = 8
 #: The further fingerprints' columns, and how many bits of the first may differ where these decide.
 WIDE = ("wide1", "wide2", "wide3")
 WIDE_REACH = 16
+WIDE_LIMIT = 2048
+KEYED = 2
 EDGES_A_COPY = 64
 _PIECE = 1 << 15
+#: Above the number of tables of keys, a power of two.
+_TABLES = 128
 
 
 def _remixed(h: np.ndarray, count: int) -> np.ndarray:
@@ -214,11 +219,17 @@ def spanning_forest(n: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) ->
     return np.concatenate([np.zeros(0, np.int64), *chosen])
 
 
-def forest(fp: np.ndarray, starts: np.ndarray, wide: tuple[np.ndarray, ...], wide_apart: int) -> tuple[np.ndarray, np.ndarray]:
-    """A minimum spanning forest, by differing bits, of the pairs with at most ``wide_apart`` of all bits differing."""
+def forest(fp: np.ndarray, starts: np.ndarray, prints: np.ndarray, side: np.ndarray, wide_apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """A minimum spanning forest, by differing bits, of the pairs with at most ``wide_apart`` of all bits differing.
+
+    ``fp``: of the four fingerprints ``prints`` of a row the one that chose its key; ``side``: 0 if a row's group is one
+    block, else 1 or 2 for the two blocks compared.
+    """
     a = b = apart = np.zeros(0, np.int64)
     for x, y in _found(fp, starts, WIDE_REACH):
-        bits = sum(np.bitwise_count(w[x] ^ w[y]).astype(np.int64) for w in (fp, *wide))
+        met = (side[x] == 0) | (side[x] != side[y])
+        x, y = x[met], y[met]
+        bits = np.bitwise_count(prints[:, x] ^ prints[:, y]).sum(0, dtype=np.int64)
         near = bits <= wide_apart
         a, b, apart = np.append(a, x[near]), np.append(b, y[near]), np.append(apart, bits[near])
         if len(a) > 1 << 20:  # the forest of a part's forest and the rest is the forest of all
@@ -228,29 +239,25 @@ def forest(fp: np.ndarray, starts: np.ndarray, wide: tuple[np.ndarray, ...], wid
     return a[keep], b[keep]
 
 
-def _search(radius: int, wide_apart: int | None):
+def _search(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, 2):
-            path, key, fp, rep, *wide = (rows.column(k).to_numpy() for k in range(rows.num_columns))
+            path, key, fp, rep = (rows.column(k).to_numpy() for k in range(4))
             opens = np.append(True, (path[1:] != path[:-1]) | (key[1:] != key[:-1]))
             alone = opens & np.append(opens[1:], True)
             fp, rep, opens = fp[~alone].view(np.uint64), rep[~alone], opens[~alone]
             if not len(fp):
                 continue
-            if wide_apart is None:
-                labels = linked(fp, np.flatnonzero(opens), radius)
-                a = np.flatnonzero(labels != np.arange(len(fp)))
-                b = labels[a]
-            else:
-                a, b = forest(fp, np.flatnonzero(opens), tuple(w[~alone].view(np.uint64) for w in wide), wide_apart)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[b], pa.int64())})
+            labels = linked(fp, np.flatnonzero(opens), radius)
+            a = np.flatnonzero(labels != np.arange(len(fp)))
+            yield pa.RecordBatch.from_pydict({"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[labels[a]], pa.int64())})
 
     return run
 
 
-def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apart: int | None = None) -> DataFrame:
+def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFrame:
     """Edges (a, b) between ``rep`` of ``classes`` (fp, rep; fp distinct) whose components are those of all links."""
-    carried = ["fp", "rep"] + [c for c in WIDE if wide_apart is not None]
+    carried = ["fp", "rep"]
     spark = classes.sparkSession
     ship(spark)
     found, levels = [], _levels(radius)
@@ -274,12 +281,69 @@ def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apa
                 rows = None
         dealt = small.select(F.col("path").cast("long").alias("path"), "key", *carried, gray_rank(F.col("fp")).alias("gray"))
         dealt = dealt.repartition(shuffle_partitions(spark), "path", "key").sortWithinPartitions("path", "key", "gray")
-        found.append(dealt.drop("gray").mapInArrow(_search(radius, wide_apart), "a long, b long"))
+        found.append(dealt.drop("gray").mapInArrow(_search(radius), "a long, b long"))
         if depth + 1 == len(levels) or rows is None:
             break
     return union_all(found)
 
 
+def _search_wide(tables: int, wide_apart: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, 1):
+            home, side, rep, *prints = (c.to_numpy() for c in rows.columns)
+            opens = np.append(True, home[1:] != home[:-1])
+            many = ~(opens & np.append(opens[1:], True))
+            if not many.any():
+                continue
+            home, side, rep, prints = home[many], side[many], rep[many], np.array(prints)[:, many].view(np.uint64)
+            fp = prints[(home & _TABLES - 1) // tables, np.arange(len(home))]
+            gray = fp.copy()
+            for shift in (1, 2, 4, 8, 16, 32):
+                gray ^= gray >> np.uint64(shift)
+            order = np.lexsort((gray, home))
+            home, side, rep, prints, fp = home[order], side[order], rep[order], prints[:, order], fp[order]
+            a, b = forest(fp, np.flatnonzero(np.append(True, home[1:] != home[:-1])), prints, side, wide_apart)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[b], pa.int64())})
+
+    return run
+
+
+def wide_links(classes: DataFrame, radius: int, wide_apart: int, limit: int = WIDE_LIMIT) -> DataFrame:
+    """Edges (a, b) between ``rep`` of ``classes`` (rep and all fingerprints): forests of the pairs that share a key.
+
+    A group's ``home`` is a hash of its key, the number of the key's table in its last bits. Which keys are cut into
+    blocks is told from a sample, as it changes the work of a task but no pair: all rows of a key meet in some task.
+    """
+    spark = classes.sparkSession
+    ship(spark)
+    names = ("fp", *WIDE)
+    masks = [_signed(m) for m in _choices(list(range(64)), radius)]
+    assert KEYED * len(masks) <= _TABLES
+    every = max(1, limit // 32)
+
+    def keyed(some: DataFrame) -> DataFrame:
+        spread = some.select("rep", *names, F.posexplode(F.array(*[F.lit(m).cast("long") for m in masks * KEYED])).alias("path", "mask"))
+        key = F.element_at(F.array(*names), F.floor(F.col("path") / len(masks)).cast("int") + 1).bitwiseAND(F.col("mask"))
+        return spread.select(F.xxhash64(key, "path").bitwiseAND(F.lit(-_TABLES)).bitwiseOR(F.col("path").cast("long")).alias("home"), "rep", *names)
+
+    rows = keyed(classes)
+    sampled = keyed(classes.where(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(every)) == 0)).groupBy("home").count()
+    hot = table(sampled.where(F.col("count") * every > limit).select("home", F.ceil(F.col("count") * every / limit).alias("blocks")), "gray-hot")
+    no_side = F.lit(0).cast("long").alias("side")
+    if hot.isEmpty():
+        dealt = rows.select("home", no_side, "rep", *names)
+    else:
+        # Block pairs (i, j), i <= j: a row of block r takes part in (r, x) and (x, r).
+        own, other = F.col("own"), F.col("other")
+        blocks = rows.join(hot, "home").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        pair = F.xxhash64("home", F.least(own, other), F.greatest(own, other)).bitwiseAND(F.lit(-_TABLES)).bitwiseOR(F.col("home").bitwiseAND(F.lit(_TABLES - 1)))
+        side = F.when(own == other, 0).when(own < other, 1).otherwise(2).cast("long").alias("side")
+        dealt = rows.join(hot, "home", "left_anti").select("home", no_side, "rep", *names).union(blocks.select(pair.alias("home"), side, "rep", *names))
+    dealt = dealt.repartition(shuffle_partitions(spark), "home").sortWithinPartitions("home")
+    return dealt.mapInArrow(_search_wide(len(masks), wide_apart), "a long, b long")
+
+
 def alike(edges: DataFrame, docs: DataFrame, words_in_run: int, least: float) -> DataFrame:
     """Those of ``edges`` (a, b: doc_ids) whose texts have a ``likeness`` of ``least`` or more.
 
@@ -311,7 +375,7 @@ def alike(edges: DataFrame, docs: DataFrame, words_in_run: int, least: float) ->
 
 
 def components(
-    prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT, wide_apart: int | None = None, check: Callable[[DataFrame], DataFrame] | None = None
+    prints: DataFrame, radius: int = RADIUS, limit: int | None = None, wide_apart: int | None = None, check: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
     """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once.
 
@@ -320,10 +384,7 @@ def components(
     """
     same = ["fp"] + [c for c in WIDE if wide_apart is not None]
     classes = table(prints.where("doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep")), "gray-classes")
-    edges = links(classes, radius, limit, wide_apart)
-    if wide_apart is not None:  # once more, by keys of the second fingerprint
-        turned = classes.select("rep", F.col("wide1").alias("fp"), F.col("fp").alias("wide1"), "wide2", "wide3")
-        edges = edges.union(links(turned, radius, limit, wide_apart))
+    edges = links(classes, radius, limit or LIMIT) if wide_apart is None else wide_links(classes, radius, wide_apart, limit or WIDE_LIMIT)
     parts = connected_components(check(edges) if check else edges).withColumnRenamed("node", "rep")
     named = classes.join(parts, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
     # Copies make hot fingerprints: a left join lets adaptive execution split the hot side.

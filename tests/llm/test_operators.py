@@ -258,6 +258,40 @@ def test_hot_keys_lose_no_wide_links(spark):
         assert all(found[k] == k // 2 * 2 for k in range(200))
 
 
+def edited(words, edits, rnd):
+    copy = list(words)
+    for place in edits if isinstance(edits, list) else rnd.sample(range(len(words)), edits):
+        copy[place] = f"e{rnd.random()}"
+    return " ".join(copy)
+
+
+def test_copies_find_their_base_among_closer_ones(spark):
+    """1,000 copies alike to one base only; each other pair is a candidate of about 0.71. Against brute force."""
+    rnd = random.Random(21)
+    words = [f"w{rnd.randrange(90_000)}" for _ in range(500)]
+    rows = [(0, " ".join(words))] + [(k, edited(words, [55 * p + rnd.randrange(50) for p in range(9)], rnd)) for k in range(1, 1001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in simhash_gray.one_of_each(docs, 6, 5, 53, 0.8).collect()}
+    runs = [simhash_gray.runs_of(t, 5) for _, t in rows]
+    at = {r: k for k, r in enumerate(np.unique(np.concatenate(runs)).tolist())}
+    has = np.zeros((len(rows), len(at)), np.float32)
+    for k, r in enumerate(runs):
+        has[k, [at[x] for x in r.tolist()]] = 1
+    common = has @ has.T
+    near = common / (has.sum(1)[:, None] + has.sum(1)[None] - common) >= 0.8
+    assert near[0].all() and near.sum() < 3.1 * len(rows)
+    # Candidates by brute force: two blocks of eight equal in a fingerprint that differs in 16 bits at most, 53 in all.
+    prints = np.array([simhash_gray.sketch(t, 5, 4) for _, t in rows])
+    bits = np.bitwise_count(prints[:, None] ^ prints[None]).astype(int)
+    met = np.zeros(near.shape, bool)
+    for k in range(simhash_gray.KEYED):
+        blocks = np.ascontiguousarray(prints[:, k]).view(np.uint8).reshape(-1, 8)
+        met |= ((blocks[:, None] == blocks[None]).sum(2) >= 2) & (bits[:, :, k] <= 16)
+    labels = settle(np.arange(len(rows)), *np.nonzero(near & met & (bits.sum(2) <= 53)))
+    print("kept", len(kept), "brute force", len(set(labels.tolist())))
+    assert kept == set(labels.tolist())
+
+
 def test_mix(spark, odd, none):
     rnd = random.Random(6)
     rows = [(k, "w " * rnd.randint(0, 50), "en", rnd.choice(["a", "b", "c", "d", None]), 0) for k in range(400)] + [(1000, "w " * 3, "en", "tiny", 0)]

@@ -21,7 +21,9 @@ Pairs within the radius all meet; of pairs that differ in more bits of each, tho
 key of more than about ``WIDE_LIMIT`` fingerprints is cut into blocks, any two of which are compared in a task.
 What leaves a task is then a spanning forest of its links, those with the fewest differing bits first. ``alike``
 compares the word runs of each of its pairs themselves and keeps the pairs at or above a likeness, so the bits may be
-chosen wide. (Two parts of a group stay apart only if the closest pair between them, by bits, is not alike in any key.)
+chosen wide. A pair left out of the forests may be the only one alike between two parts, so the search is repeated over
+the documents that still have such pairs, parts confirmed being one: it hands on each document's ``MORE`` closest pairs
+between parts, then ``MORE`` times as many, until no task leaves a pair out. Then no untested pair joins two parts.
 
 Defined results: a null text is the empty text; without words the fingerprint is zero and linked like any other;
 repeated rows each give their row; a null doc_id links with nothing and has a null component_id; an empty table gives
@@ -48,7 +50,7 @@ WIDE = ("wide1", "wide2", "wide3")
 WIDE_REACH = 16
 WIDE_LIMIT = 2048
 KEYED = 2
-EDGES_A_COPY = 64
+MORE = 16
 _PIECE = 1 << 15
 #: Above the number of tables of keys, a power of two.
 _TABLES = 128
@@ -80,10 +82,26 @@ def _hashes(text: str, words_in_run: int) -> tuple[int, Iterator[int]]:
     return n, map(xxhash.xxh64_intdigest, runs, repeat(42))
 
 
+def runs_of(text: str, words_in_run: int) -> np.ndarray:
+    """The different hashes of the word runs, in order."""
+    n, hashes = _hashes(text, words_in_run)
+    return np.unique(np.fromiter(hashes, np.uint64, n))
+
+
+def _share(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
+    """Likeness of two texts' ``runs_of``; 0 if their numbers alone tell that it is under ``least``."""
+    if not len(a) and not len(b):
+        return 1.0
+    if min(len(a), len(b)) / max(len(a), len(b)) < least:
+        return 0.0
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return common / (len(both) - common)
+
+
 def likeness(one: str, other: str, words_in_run: int) -> float:
     """Share of the different word runs of either text that both have; 1 for two texts without words."""
-    a, b = (set(_hashes(t, words_in_run)[1]) for t in (one, other))
-    return len(a & b) / len(a | b) if a or b else 1.0
+    return _share(runs_of(one, words_in_run), runs_of(other, words_in_run))
 
 
 def fingerprint(text: str, words_in_run: int = 3) -> int:
@@ -219,24 +237,45 @@ def spanning_forest(n: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) ->
     return np.concatenate([np.zeros(0, np.int64), *chosen])
 
 
-def forest(fp: np.ndarray, starts: np.ndarray, prints: np.ndarray, side: np.ndarray, wide_apart: int) -> tuple[np.ndarray, np.ndarray]:
-    """A minimum spanning forest, by differing bits, of the pairs with at most ``wide_apart`` of all bits differing.
+def closest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.ndarray:
+    """Which of the links are among the ``most`` closest of either end."""
+    n, ends = len(a), np.concatenate([a, b])
+    order = np.lexsort((np.tile(apart, 2), ends))
+    opens = np.flatnonzero(np.diff(ends[order], prepend=-1))
+    rank = np.arange(2 * n) - np.repeat(opens, np.diff(np.append(opens, 2 * n)))
+    return np.unique(order[rank < most] % max(n, 1))
+
+
+def forest(
+    fp: np.ndarray, starts: np.ndarray, prints: np.ndarray, side: np.ndarray, part: np.ndarray, wide_apart: int, most: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs between parts with at most ``wide_apart`` of all bits differing a minimum spanning forest, by
+    differing bits, and the ``most`` closest of each row; and the rows that have pairs left out.
 
     ``fp``: of the four fingerprints ``prints`` of a row the one that chose its key; ``side``: 0 if a row's group is one
-    block, else 1 or 2 for the two blocks compared.
+    block, else 1 or 2 for the two blocks compared; ``part``: what is known to belong together, numbered from 0.
     """
     a = b = apart = np.zeros(0, np.int64)
+    left, parts, full = np.zeros(len(fp), bool), int(part.max(initial=-1)) + 1, 1 << 20
+
+    def chosen() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keep = np.union1d(spanning_forest(parts, part[a], part[b], apart), closest(a, b, apart, most)).astype(np.int64)
+        out = np.ones(len(a), bool)
+        out[keep] = False
+        left[a[out]] = left[b[out]] = True
+        return a[keep], b[keep], apart[keep]
+
     for x, y in _found(fp, starts, WIDE_REACH):
-        met = (side[x] == 0) | (side[x] != side[y])
+        met = ((side[x] == 0) | (side[x] != side[y])) & (part[x] != part[y])
         x, y = x[met], y[met]
         bits = np.bitwise_count(prints[:, x] ^ prints[:, y]).sum(0, dtype=np.int64)
         near = bits <= wide_apart
         a, b, apart = np.append(a, x[near]), np.append(b, y[near]), np.append(apart, bits[near])
-        if len(a) > 1 << 20:  # the forest of a part's forest and the rest is the forest of all
-            keep = spanning_forest(len(fp), a, b, apart)
-            a, b, apart = a[keep], b[keep], apart[keep]
-    keep = spanning_forest(len(fp), a, b, apart)
-    return a[keep], b[keep]
+        if len(a) > full:  # what is chosen of a part's choice and the rest is what is chosen of all
+            a, b, apart = chosen()
+            full = max(full, 2 * len(a))
+    a, b, _ = chosen()
+    return a, b, np.flatnonzero(left)
 
 
 def _search(radius: int):
@@ -287,29 +326,35 @@ def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataF
     return union_all(found)
 
 
-def _search_wide(tables: int, wide_apart: int):
+def _search_wide(tables: int, wide_apart: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, 1):
-            home, side, rep, *prints = (c.to_numpy() for c in rows.columns)
-            opens = np.append(True, home[1:] != home[:-1])
-            many = ~(opens & np.append(opens[1:], True))
+            home, side, rep, part, *prints = (c.to_numpy() for c in rows.columns)
+            opens = np.flatnonzero(np.append(True, home[1:] != home[:-1]))
+            many = np.minimum.reduceat(part, opens) != np.maximum.reduceat(part, opens)
+            many = np.repeat(many, np.diff(np.append(opens, len(home))))
             if not many.any():
                 continue
-            home, side, rep, prints = home[many], side[many], rep[many], np.array(prints)[:, many].view(np.uint64)
+            home, side, rep, part, prints = home[many], side[many], rep[many], part[many], np.array(prints)[:, many].view(np.uint64)
             fp = prints[(home & _TABLES - 1) // tables, np.arange(len(home))]
             gray = fp.copy()
             for shift in (1, 2, 4, 8, 16, 32):
                 gray ^= gray >> np.uint64(shift)
             order = np.lexsort((gray, home))
             home, side, rep, prints, fp = home[order], side[order], rep[order], prints[:, order], fp[order]
-            a, b = forest(fp, np.flatnonzero(np.append(True, home[1:] != home[:-1])), prints, side, wide_apart)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[b], pa.int64())})
+            part = np.unique(part[order], return_inverse=True)[1]
+            a, b, left = forest(fp, np.flatnonzero(np.append(True, home[1:] != home[:-1])), prints, side, part, wide_apart, most)
+            left = np.unique(rep[left])
+            ends = pa.array(rep[a], pa.int64()), pa.array(rep[b], pa.int64()), pa.array(home[a], pa.int64())
+            yield pa.RecordBatch.from_pydict(dict(zip(("a", "b", "home"), ends, strict=True)))
+            yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.nulls(len(left), pa.int64()), "home": pa.nulls(len(left), pa.int64())})
 
     return run
 
 
-def wide_links(classes: DataFrame, radius: int, wide_apart: int, limit: int = WIDE_LIMIT) -> DataFrame:
-    """Edges (a, b) between ``rep`` of ``classes`` (rep and all fingerprints): forests of the pairs that share a key.
+def wide_links(classes: DataFrame, radius: int, wide_apart: int, limit: int = WIDE_LIMIT, most: int = 0) -> DataFrame:
+    """Edges (a, b, home) between ``rep`` of ``classes`` (rep, part and all fingerprints): of the pairs that share a key
+    and are of different parts a forest and each one's ``most`` closest. A null b: ``a`` has pairs left out.
 
     A group's ``home`` is a hash of its key, the number of the key's table in its last bits. Which keys are cut into
     blocks is told from a sample, as it changes the work of a task but no pair: all rows of a key meet in some task.
@@ -317,21 +362,22 @@ def wide_links(classes: DataFrame, radius: int, wide_apart: int, limit: int = WI
     spark = classes.sparkSession
     ship(spark)
     names = ("fp", *WIDE)
+    carried = ("rep", "part", *names)
     masks = [_signed(m) for m in _choices(list(range(64)), radius)]
     assert KEYED * len(masks) <= _TABLES
     every = max(1, limit // 32)
 
     def keyed(some: DataFrame) -> DataFrame:
-        spread = some.select("rep", *names, F.posexplode(F.array(*[F.lit(m).cast("long") for m in masks * KEYED])).alias("path", "mask"))
+        spread = some.select(*carried, F.posexplode(F.array(*[F.lit(m).cast("long") for m in masks * KEYED])).alias("path", "mask"))
         key = F.element_at(F.array(*names), F.floor(F.col("path") / len(masks)).cast("int") + 1).bitwiseAND(F.col("mask"))
-        return spread.select(F.xxhash64(key, "path").bitwiseAND(F.lit(-_TABLES)).bitwiseOR(F.col("path").cast("long")).alias("home"), "rep", *names)
+        return spread.select(F.xxhash64(key, "path").bitwiseAND(F.lit(-_TABLES)).bitwiseOR(F.col("path").cast("long")).alias("home"), *carried)
 
     rows = keyed(classes)
     sampled = keyed(classes.where(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(every)) == 0)).groupBy("home").count()
     hot = table(sampled.where(F.col("count") * every > limit).select("home", F.ceil(F.col("count") * every / limit).alias("blocks")), "gray-hot")
     no_side = F.lit(0).cast("long").alias("side")
     if hot.isEmpty():
-        dealt = rows.select("home", no_side, "rep", *names)
+        dealt = rows.select("home", no_side, *carried)
     else:
         # Block pairs (i, j), i <= j: a row of block r takes part in (r, x) and (x, r).
         own, other = F.col("own"), F.col("other")
@@ -339,39 +385,61 @@ def wide_links(classes: DataFrame, radius: int, wide_apart: int, limit: int = WI
         blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         pair = F.xxhash64("home", F.least(own, other), F.greatest(own, other)).bitwiseAND(F.lit(-_TABLES)).bitwiseOR(F.col("home").bitwiseAND(F.lit(_TABLES - 1)))
         side = F.when(own == other, 0).when(own < other, 1).otherwise(2).cast("long").alias("side")
-        dealt = rows.join(hot, "home", "left_anti").select("home", no_side, "rep", *names).union(blocks.select(pair.alias("home"), side, "rep", *names))
+        dealt = rows.join(hot, "home", "left_anti").select("home", no_side, *carried).union(blocks.select(pair.alias("home"), side, *carried))
     dealt = dealt.repartition(shuffle_partitions(spark), "home").sortWithinPartitions("home")
-    return dealt.mapInArrow(_search_wide(len(masks), wide_apart), "a long, b long")
+    return dealt.mapInArrow(_search_wide(len(masks), wide_apart, most), "a long, b long, home long")
 
 
 def alike(edges: DataFrame, docs: DataFrame, words_in_run: int, least: float) -> DataFrame:
     """Those of ``edges`` (a, b: doc_ids) whose texts have a ``likeness`` of ``least`` or more.
 
-    Only texts on an edge are carried. A text on many edges is laid out once for each ``EDGES_A_COPY`` of them, so that
-    no task gathers all edges of a hub. Of rows with one doc_id, any that is alike will do.
+    Only texts on an edge are carried, and once for each ``home`` (a column of ``edges``, else ``a``) in which they have
+    edges, however many; an edge of several homes is tested in one. Of rows with one doc_id, any that is alike will do.
     """
     spark = docs.sparkSession
     ship(spark)
-    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = table(edges, "gray-candidates")
-    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.ceil(F.count("*") / EDGES_A_COPY).cast("int").alias("copies"))
-    ends = table(ends, "gray-ends")
+    home = F.col("home") if "home" in edges.columns else F.least("a", "b")
+    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), home.alias("home"))
+    edges = table(edges.groupBy("a", "b").agg(F.min("home").alias("home")), "gray-candidates")
+    ends = edges.select("home", F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(ends, "node")
-    texts = table(texts, "gray-texts").select("node", "text", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    for one, other in ("ab", "ba"):
-        many = ends.select(F.col("node").alias(one), F.col("copies").alias("copies"))
-        edges = edges.join(many, one).withColumn(f"copy_{one}", F.pmod(F.hash(other), "copies")).drop("copies")
-    for one in "ab":
-        held = texts.select(F.col("node").alias(one), F.col("copy").alias(f"copy_{one}"), F.col("text").alias(f"text_{one}"))
-        edges = edges.join(held, [one, f"copy_{one}"])
+    texts = texts.select("home", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text")
+    rows = texts.union(edges.select("home", "a", "b", F.lit(None).cast("string").alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
         for batch in slices(batches):
-            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            keep = pa.array([likeness(x, y, words_in_run) >= least for x, y in pairs], pa.bool_())
-            yield batch.select(["a", "b"]).filter(keep)
-
-    return edges.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+            found = []
+            for home, a, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if home != at:
+                    at, held = home, {}
+                if b is None:
+                    held.setdefault(a, []).append(runs_of(text, words_in_run))
+                elif any(_share(x, y, least) >= least for x in held.get(a, ()) for y in held.get(b, ())):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    # Nulls come first, so a home's texts are there before its edges.
+    dealt = rows.repartition(shuffle_partitions(spark), "home").sortWithinPartitions("home", "b")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def wide_parts(classes: DataFrame, radius: int, wide_apart: int, limit: int, check: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """(node, component) of the ``rep`` of ``classes`` that are linked: by their bits, or by what ``check`` confirms."""
+    searched, most, good = classes.withColumn("part", F.col("rep")), 0, []
+    while True:
+        found = table(wide_links(searched, radius, wide_apart, limit, most), "gray-found")
+        edges = found.where("b is not null")
+        if check is None:
+            return connected_components(edges)
+        good.append(table(check(edges), "gray-alike"))
+        parts = connected_components(union_all(good))
+        left = found.where("b is null").select(F.col("a").alias("rep")).distinct()
+        if left.isEmpty():
+            return parts
+        parts = table(parts, "gray-parts").withColumnRenamed("node", "rep")
+        searched = classes.join(left, "rep").join(parts, "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+        searched, most = table(searched, "gray-left"), max(1, most) * MORE
 
 
 def components(
@@ -380,12 +448,15 @@ def components(
     """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once.
 
     With ``wide_apart``, ``prints`` has the further fingerprints too, and documents equal in all of them are one class.
-    ``check`` takes the edges between classes' least doc_ids and gives those that hold.
+    ``check`` takes edges (a, b, home) between classes' least doc_ids and gives those that hold.
     """
     same = ["fp"] + [c for c in WIDE if wide_apart is not None]
     classes = table(prints.where("doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep")), "gray-classes")
-    edges = links(classes, radius, limit or LIMIT) if wide_apart is None else wide_links(classes, radius, wide_apart, limit or WIDE_LIMIT)
-    parts = connected_components(check(edges) if check else edges).withColumnRenamed("node", "rep")
+    if wide_apart is None:
+        parts = connected_components(links(classes, radius, limit or LIMIT))
+    else:
+        parts = wide_parts(classes, radius, wide_apart, limit or WIDE_LIMIT, check)
+    parts = parts.withColumnRenamed("node", "rep")
     named = classes.join(parts, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
     # Copies make hot fingerprints: a left join lets adaptive execution split the hot side.
     out = prints.join(named, same, "left")

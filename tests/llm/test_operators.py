@@ -292,6 +292,17 @@ def test_copies_find_their_base_among_closer_ones(spark):
     assert kept == set(labels.tolist())
 
 
+def test_texts_equal_in_all_bits_are_compared(spark):
+    rnd = random.Random(31)
+    filler = [". . . . . " * 80, "one two three four five\n" * 400]
+    texts = [filler[k % 2] + " ".join(f"w{rnd.random()}" for _ in range(300)) for k in range(20)]
+    rows = [*enumerate(texts), (20, texts[4].upper()), (21, texts[7] + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len({simhash_gray.sketch(t, 5, 4).tobytes() for t in texts}) == 2
+    kept = sorted(r["doc_id"] for r in simhash_gray.one_of_each(docs, 6, 5, 53, 0.8).collect())
+    assert kept == list(range(20))
+
+
 def test_mix(spark, odd, none):
     rnd = random.Random(6)
     rows = [(k, "w " * rnd.randint(0, 50), "en", rnd.choice(["a", "b", "c", "d", None]), 0) for k in range(400)] + [(1000, "w " * 3, "en", "tiny", 0)]

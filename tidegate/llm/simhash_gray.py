@@ -24,6 +24,8 @@ compares the word runs of each of its pairs themselves and keeps the pairs at or
 chosen wide. A pair left out of the forests may be the only one alike between two parts, so the search is repeated over
 the documents that still have such pairs, parts confirmed being one: it hands on each document's ``MORE`` closest pairs
 between parts, then ``MORE`` times as many, until no task leaves a pair out. Then no untested pair joins two parts.
+Only documents of the same words in the same order (by a digest of 128 bits) are one class without such a test: a run
+of words that makes over half of a text settles all its bits, so equal bits alone say little.
 
 Defined results: a null text is the empty text; without words the fingerprint is zero and linked like any other;
 repeated rows each give their row; a null doc_id links with nothing and has a null component_id; an empty table gives
@@ -32,6 +34,7 @@ no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
@@ -82,6 +85,11 @@ def _hashes(text: str, words_in_run: int) -> tuple[int, Iterator[int]]:
     return n, map(xxhash.xxh64_intdigest, runs, repeat(42))
 
 
+def words_digest(text: str) -> bytes:
+    """16 bytes that tell apart texts whose words, as the runs have them, differ."""
+    return hashlib.blake2b(b" ".join(text.encode("utf-8").lower().split()), digest_size=16).digest()
+
+
 def runs_of(text: str, words_in_run: int) -> np.ndarray:
     """The different hashes of the word runs, in order."""
     n, hashes = _hashes(text, words_in_run)
@@ -120,17 +128,21 @@ def sketch(text: str, words_in_run: int, count: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words_in_run: int = 3, wide: bool = False) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed 64-bit integer) of each row, with the further ones if ``wide``."""
+    """doc_id and fp (the fingerprint as a signed 64-bit integer) of each row, with the further ones and digest if ``wide``."""
     ship(docs.sparkSession)
     names = ("fp", *WIDE) if wide else ("fp",)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [sketch(t or "", words_in_run, len(names)) for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            found = [sketch(t, words_in_run, len(names)) for t in texts]
             columns = np.array(found, np.uint64).reshape(-1, len(names)).T.copy().view(np.int64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0)} | {c: pa.array(x, pa.int64()) for c, x in zip(names, columns, strict=True)})
+            out = {"doc_id": batch.column(0)} | {c: pa.array(x, pa.int64()) for c, x in zip(names, columns, strict=True)}
+            if wide:
+                out["digest"] = pa.array(map(words_digest, texts), pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
 
-    schema = ", ".join(f"{c} long" for c in ("doc_id", *names))
+    schema = ", ".join(f"{c} long" for c in ("doc_id", *names)) + ", digest binary" * wide
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
@@ -447,11 +459,14 @@ def components(
 ) -> DataFrame:
     """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once.
 
-    With ``wide_apart``, ``prints`` has the further fingerprints too, and documents equal in all of them are one class.
+    With ``wide_apart``, ``prints`` has the further fingerprints too, and documents equal in all of them are one class;
+    with ``check``, documents of one ``digest``.
     ``check`` takes edges (a, b, home) between classes' least doc_ids and gives those that hold.
     """
-    same = ["fp"] + [c for c in WIDE if wide_apart is not None]
-    classes = table(prints.where("doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep")), "gray-classes")
+    bits = ["fp"] + [c for c in WIDE if wide_apart is not None]
+    same = ["digest"] if check else bits
+    further = [F.min(c).alias(c) for c in bits if check]  # of one digest all are equal
+    classes = table(prints.where("doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"), *further), "gray-classes")
     if wide_apart is None:
         parts = connected_components(links(classes, radius, limit or LIMIT))
     else:
@@ -472,7 +487,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 def one_of_each(docs: DataFrame, radius: int = RADIUS, words_in_run: int = 3, wide_apart: int | None = None, least: float | None = None) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the least of its component; rows without a doc_id stay. All columns are kept.
 
-    With ``least``, texts of different fingerprints link only at that likeness of their word runs or more.
+    With ``least``, texts of different words link only at that likeness of their word runs or more.
     """
     prints = table(fingerprints(docs, words_in_run, wide_apart is not None), "gray-prints")
     check = None if least is None else lambda edges: alike(edges, docs, words_in_run, least)

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegate.llm import bpe, mixing, simhash_gray, toxicity
 from tidegate.llm.common import documents, table
 
-#: Runs of five words, alike from 0.8 on; two of eight blocks of a fingerprint choose the keys. Documents of that
-#: likeness differ in 15.1% of the bits on average (angle between their counts), 38.8 of 256 with a standard deviation
-#: of 5.7. Two and a half deviations more make a candidate, whose word runs are then compared themselves.
-NEAR_WORDS, NEAR_LIKENESS, NEAR_BITS, NEAR_WIDE = 5, 0.8, 6, 53
+#: Runs of five words, alike from 0.8 on; two of eight blocks of any of the four fingerprints choose the keys. Documents
+#: of that likeness differ in 15.1% of the bits on average (angle between their counts), 38.8 of 256 with a standard
+#: deviation of 5.7. Up to 3.7 deviations more make a candidate, whose word runs are then compared themselves.
+NEAR_WORDS, NEAR_LIKENESS, NEAR_BITS, NEAR_WIDE = 5, 0.8, 6, 60
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

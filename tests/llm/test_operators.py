@@ -303,6 +303,19 @@ def test_texts_equal_in_all_bits_are_compared(spark):
     assert kept == list(range(20))
 
 
+def test_lone_pairs_near_the_threshold_are_found(spark):
+    from corpus_pipeline import drop_near_copies
+
+    rnd = random.Random(41)
+    rows = []
+    for k in range(600):  # 8 of 396 words edited: a likeness of 0.81
+        words = [f"v{rnd.randrange(90_000)}" for _ in range(396)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, edited(words, [44 * p + 10 + rnd.randrange(20) for p in range(8)], rnd))]
+    assert 0.8 <= simhash_gray.likeness(rows[0][1], rows[1][1], 5) < 0.82
+    kept = {r["doc_id"] for r in drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert set(range(0, 1200, 2)) <= kept and len(kept) - 600 <= 0.02 * 600
+
+
 def test_mix(spark, odd, none):
     rnd = random.Random(6)
     rows = [(k, "w " * rnd.randint(0, 50), "en", rnd.choice(["a", "b", "c", "d", None]), 0) for k in range(400)] + [(1000, "w " * 3, "en", "tiny", 0)]

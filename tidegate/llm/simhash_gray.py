@@ -15,7 +15,7 @@ blocks again, and so on; for a radius of 2, at most 256 distinct fingerprints ca
 task ever holds an unbounded group, whatever the copies. (A greater radius has more tables and is refined once.)
 
 Documents of likeness 0.8 differ in too many of 64 bits for blocks of a useful length. For them (``wide_apart``) three
-further fingerprints of remixed hashes go along. The blocks of each of the first ``KEYED`` choose the keys, the index
+further fingerprints of remixed hashes go along. The blocks of each of the ``KEYED`` choose the keys, the index
 searches to ``WIDE_REACH`` bits of that one, and a pair links if at most ``wide_apart`` of all 256 bits differ.
 Pairs within the radius all meet; of pairs that differ in more bits of each, those with two equal blocks in one. Here a
 key of more than about ``WIDE_LIMIT`` fingerprints is cut into blocks, any two of which are compared in a task.
@@ -52,7 +52,7 @@ FANOUT = 8
 WIDE = ("wide1", "wide2", "wide3")
 WIDE_REACH = 16
 WIDE_LIMIT = 2048
-KEYED = 2
+KEYED = 4
 MORE = 16
 _PIECE = 1 << 15
 #: Above the number of tables of keys, a power of two.

@@ -33,3 +33,8 @@ def percent(part: Column, whole: Column) -> Column:
 def holds(predicate: Column) -> Column:
     """UNKNOWN does not hold."""
     return F.coalesce(predicate, F.lit(False))
+
+
+def quoted(name: str) -> str:
+    """An identifier that may hold any character."""
+    return "`" + name.replace("`", "``") + "`"

@@ -1,4 +1,4 @@
-"""Alerts: recorded first, then posted as JSON or written as a file; delivery never raises."""
+"""Alerts: recorded in the store first, then posted as JSON or written as a file, then marked; none of it ever raises."""
 
 from __future__ import annotations
 
@@ -7,6 +7,12 @@ import os
 import urllib.request
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidegate.sources.entities import schema_of
+from tidegate.sources.store import Store
+
 PIPELINE = "LoadSalesData"
 
 
@@ -46,11 +52,55 @@ def deliver(alert: Alert, raised_at: str, webhook: str | None = None, folder: st
     return alert
 
 
-def mark_delivered(alerts: list[Alert], run_id: int, alert_id: int | None = None) -> Alert:
-    """The named alert, or the latest of the run."""
-    mine = [a for a in alerts if a.run_id == run_id and alert_id in (None, a.alert_id)]
-    if not mine:
-        raise ValueError(f"run {run_id} has no alert to mark")
-    latest = max(mine, key=lambda a: a.alert_id)
-    latest.delivered = True
-    return latest
+ALERTS = schema_of(
+    "alert_id long, run_id long, alert_type string, severity string, subject string, body string, channel string, raised_at string, delivered boolean, delivery_detail string, state int"
+)
+
+
+class AlertLog:
+    """The alert table of a store. Raising and marking each append a row; of an alert the last state counts."""
+
+    def __init__(self, store: Store):
+        self.store = store
+
+    def rows(self) -> DataFrame:
+        last = Window.partitionBy("alert_id").orderBy(F.desc("state"))
+        return self.store.table("alert", ALERTS).withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+
+    def _append(self, *row) -> None:
+        made = self.store.spark.createDataFrame([row], ALERTS)
+        self.store.commit({}, self.store.manifest()["number"], {"alert": made})
+
+    def raise_(self, run_id: int, kind: str, severity: str, subject: str, details: dict, raised_at: str, channel: str) -> Alert:
+        before = self.store.table("alert", ALERTS).agg(F.max("alert_id")).first()[0]
+        alert = Alert((before or 0) + 1, run_id, kind, severity, subject, details)
+        self._append(alert.alert_id, run_id, kind, severity, subject, alert.payload(raised_at), channel, raised_at, False, None, 0)
+        return alert
+
+    def mark(self, run_id: int, delivered: bool, detail: str = "", alert_id: int | None = None) -> int:
+        """Of the named alert, or the latest of the run; its id."""
+        mine = self.rows().where(F.col("run_id") == run_id)
+        if alert_id is not None:
+            mine = mine.where(F.col("alert_id") == alert_id)
+        found = mine.orderBy(F.desc("alert_id")).first()
+        if found is None:
+            raise ValueError(f"run {run_id} has no alert to mark")
+        values = found.asDict() | {"delivered": delivered, "delivery_detail": detail[:1000], "state": found["state"] + 1}
+        self._append(*[values[c] for c in ALERTS.names])
+        return found["alert_id"]
+
+
+def dispatch(log: AlertLog, run_id: int, kind: str, severity: str, subject: str, details: dict, raised_at: str, webhook: str | None = None, folder: str | None = None) -> Alert:
+    """Record, deliver, mark. A record that fails does not keep the alert from going out, nor ends the run."""
+    recorded = True
+    try:
+        alert = log.raise_(run_id, kind, severity, subject, details, raised_at, "Webhook" if webhook else "File")
+    except Exception:
+        alert, recorded = Alert(0, run_id, kind, severity, subject, details), False
+    deliver(alert, raised_at, webhook, folder)
+    if recorded:
+        try:
+            log.mark(run_id, alert.delivered, alert.delivery_detail, alert.alert_id)
+        except Exception as error:
+            alert.delivery_detail = f"{alert.delivery_detail}; not marked: {error}"[:1000]
+    return alert

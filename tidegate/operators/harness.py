@@ -1,4 +1,4 @@
-"""Mutations of a source for tests and experiments: amended lines, injected and reverted faults."""
+"""Mutations of a source for tests and experiments: seeded samples, new orders, amended lines, injected and reverted faults."""
 
 from __future__ import annotations
 
@@ -11,6 +11,29 @@ FAULTS = ("due", "ship", "freight")
 MARK = "FAULT_"
 
 
+def sample(rows: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """``n`` rows picked by a seeded hash of their key: the same ones again for the same seed, whatever the partitions."""
+    return rows.withColumn("_pick", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))).orderBy("_pick", key).limit(n).drop("_pick")
+
+
+def book(headers: DataFrame, lines: DataFrame, n: int, seed: str, now: str) -> tuple[DataFrame, DataFrame]:
+    """New orders: the sources with ``n`` sampled orders and their lines booked again under new keys, modified now."""
+    top, top_line = headers.agg(F.max("SalesOrderID")).first()[0] or 0, lines.agg(F.max("SalesOrderDetailID")).first()[0] or 0
+    picked = sample(headers.join(lines.select("SalesOrderID").distinct(), "SalesOrderID", "left_semi"), "SalesOrderID", n, seed)
+    # At most ``n`` orders and their lines are numbered, so the windows see a bounded sample.
+    new_id = (F.lit(top) + F.row_number().over(Window.orderBy("SalesOrderID"))).cast("int")
+    numbered = picked.withColumn("_new", new_id).withColumn("_gap", stamp(now) - F.col("OrderDate"))
+    again = numbered.withColumn("SalesOrderNumber", F.concat(F.lit("SO"), F.col("_new").cast("string")))
+    for c in ("OrderDate", "DueDate", "ShipDate"):
+        again = again.withColumn(c, F.col(c) + F.col("_gap"))
+    again = again.withColumn("RevisionNumber", F.lit(1).cast("smallint")).withColumn("ModifiedDate", stamp(now)).withColumn("_old", F.col("SalesOrderID")).withColumn("SalesOrderID", F.col("_new"))
+    keys = again.select(F.col("_old").alias("SalesOrderID"), "_new")
+    more = lines.join(keys, "SalesOrderID").withColumn("SalesOrderID", F.col("_new"))
+    line_id = (F.lit(top_line) + F.row_number().over(Window.orderBy("_new", "SalesOrderDetailID"))).cast("int")
+    more = more.withColumn("SalesOrderDetailID", line_id).withColumn("ModifiedDate", stamp(now))
+    return headers.unionByName(again.select(headers.columns)), lines.unionByName(more.select(lines.columns))
+
+
 def amend(lines: DataFrame, picked: DataFrame, now: str) -> DataFrame:
     """One more of each picked line, modified now; ``picked`` is a bounded sample of keys."""
     keys = picked.select("SalesOrderDetailID", F.lit(True).alias("_picked"))

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tidegate.sources.entities import DETAIL, Entity
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, entity: Entity) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, entity: Entity, first_only: tuple[str, ...] = ()) -> DataFrame:
     """All columns and ``_action``: INSERT, UPDATE (at least as new), STALE (older: the old row stays) or KEEP.
 
-    Both sides have unique keys (``Entity.latest_rows``). One shuffle by key; both snapshots stay on disk.
+    Both sides have unique keys (``Entity.latest_rows``). Columns ``first_only`` keep the old row's value. One shuffle by key.
     """
     columns = [c for c in existing.columns]
     old, new = F.struct(*[F.col(c) for c in columns]).alias("old"), F.struct(*[F.col(c) for c in columns]).alias("new")
@@ -21,7 +21,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, entity: Entity) -> DataFram
     mark = entity.watermark
     action = F.when(F.col("old").isNull(), "INSERT").when(F.col("new").isNull(), "KEEP").when(F.col(f"new.{mark}") >= F.col(f"old.{mark}"), "UPDATE").otherwise("STALE")
     chosen = F.when(action.isin("INSERT", "UPDATE"), F.col("new")).otherwise(F.col("old"))
-    return both.select(action.alias("_action"), chosen.alias("row")).select("row.*", "_action")
+    held = both.select(action.alias("_action"), chosen.alias("row"), F.struct(*[F.col(f"old.{c}") for c in first_only]).alias("_old") if first_only else F.lit(None).alias("_old"))
+    picked = [F.coalesce(f"_old.{c}", f"row.{c}").alias(c) if c in first_only else F.col(f"row.{c}") for c in columns]
+    return held.select(*picked, "_action")
 
 
 def with_parent(lines: DataFrame, headers: DataFrame) -> DataFrame:

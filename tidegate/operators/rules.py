@@ -1,19 +1,23 @@
-"""Declarative data-quality rules evaluated in one pass with the semantics of rule-by-rule quarantine.
+"""Declarative data-quality rules with the semantics of rule-by-rule quarantine, evaluated in as few passes as they allow.
 
 A rule's predicate is TRUE for a bad row. Rules run in order; a row failing a quarantining rule leaves the batch, so it
 is rejected once, by the first such rule, and later rules do not see it. Instead of counting and deleting once a rule,
-``evaluate`` finds each row's first failing quarantining rule in one projection; what rule i would count is then the
-rows whose predicate holds and that no earlier rule took. Duplicate rules count survivors of their key by a window.
+``evaluate`` finds each row's first failing quarantining rule in one projection for a run of rules that look at one row;
+what rule i would count is then the rows whose predicate holds and that no earlier rule took. A rule that looks at other
+rows (duplicates, or a predicate with a subquery over the view ``batch``) sees the survivors of the rules before it:
+duplicate keys are counted by an aggregate with map-side combine and joined, null keys spread by their row's hash.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.tsql import concat, holds
+from tidegate.functions.tsql import concat, holds, quoted
 from tidegate.sources.entities import DETAIL, HEADER, Entity
 
 
@@ -27,14 +31,24 @@ class Rule:
     predicate: str
     quarantine: bool = True
     enabled: bool = True
+    detail: str = ""
 
     @property
     def severity(self) -> str:
         return "Critical" if self.quarantine else "Warning"
 
+    @property
+    def over_rows(self) -> bool:
+        """Whether the rule looks at more than one row."""
+        return self.kind == "DuplicateCheck" or re.search(r"(?i)\bselect\b", self.predicate) is not None
+
+    @property
+    def description(self) -> str:
+        return self.detail or (f"{self.column} occurs more than once in the batch" if self.kind == "DuplicateCheck" else f"bad if {self.predicate}")
+
 
 def _null(*columns: str) -> str:
-    return " OR ".join(f"{c} IS NULL" for c in columns)
+    return " OR ".join(f"{quoted(c)} IS NULL" for c in columns)
 
 
 _H, _D = HEADER.name, DETAIL.name
@@ -80,22 +94,56 @@ def predicate(rule: Rule, as_of: str) -> Column:
     return holds(F.expr(rule.predicate.format(as_of=as_of)))
 
 
+def seeded(existing: tuple[Rule, ...], seed: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
+    """``seed`` over ``existing``: definitions are refreshed, what is switched on or off stays, and own rules stay."""
+    state = {(r.entity, r.name): r.enabled for r in existing}
+    fresh = {(r.entity, r.name) for r in seed}
+    return (*[replace(r, enabled=state.get((r.entity, r.name), r.enabled)) for r in seed], *[r for r in existing if (r.entity, r.name) not in fresh])
+
+
 def evaluate(rows: DataFrame, entity: Entity, as_of: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``rows`` with ``first_rule`` (number of the rule that rejects the row, or null) and ``bad_<number>`` for each rule."""
-    mine = rules_of(entity, rules)
-    local = [r for r in mine if r.kind != "DuplicateCheck"]
-    first = F.coalesce(*[F.when(predicate(r, as_of), F.lit(r.number)) for r in local if r.quarantine], F.lit(None).cast("int"))
-    out = rows.withColumn("first_rule", first)
-    for r in mine:
-        still = F.col("first_rule").isNull() | (F.col("first_rule") >= r.number)
+    columns, out = rows.columns, rows.withColumn("first_rule", F.lit(None).cast("int"))
+    waiting: list[Rule] = []
+
+    def settle(out: DataFrame) -> DataFrame:
+        """All waiting rules of one row each in one projection."""
+        if not waiting:
+            return out
+        mine, alive = list(waiting), F.col("first_rule").isNull()
+        waiting.clear()
+        first = F.coalesce(*[F.when(predicate(r, as_of), F.lit(r.number)) for r in mine if r.quarantine], F.lit(None).cast("int"))
+        out = out.withColumn("_first", F.when(alive, first))
+        for r in mine:
+            out = out.withColumn(f"bad_{r.number}", predicate(r, as_of) & alive & (F.col("_first").isNull() | (F.col("_first") >= r.number)))
+        return out.withColumn("first_rule", F.coalesce("first_rule", "_first")).drop("_first")
+
+    for r in rules_of(entity, rules):
+        if not r.over_rows:
+            waiting.append(r)
+            continue
+        out = settle(out)
+        alive = F.col("first_rule").isNull()
         if r.kind == "DuplicateCheck":
-            alive = F.col("first_rule").isNull()
-            copies = F.sum(F.when(alive, 1).otherwise(0)).over(Window.partitionBy(entity.key))
-            bad = alive & F.col(entity.key).isNotNull() & (copies > 1)
+            key = quoted(r.column or entity.key)
+            copies = out.where(alive & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_copies")).where("_copies > 1")
+            # Rows that cannot be duplicates have a null key; the salt keeps them from meeting in one task.
+            salt = F.when(~alive | F.col(key).isNull(), F.xxhash64(*[F.col(quoted(c)) for c in columns])).otherwise(F.lit(0))
+            salted = out.withColumn("_salt", salt).withColumn("_own", F.when(F.col("_salt") == 0, F.col(key)))
+            joined = salted.join(copies.withColumn("_zero", F.lit(0).cast("long")), (F.col("_own") == F.col("_key")) & (F.col("_salt") == F.col("_zero")), "left")
+            bad = alive & F.col("_copies").isNotNull()
+            out = joined.withColumn(f"bad_{r.number}", bad).drop("_salt", "_own", "_key", "_zero", "_copies")
         else:
-            bad = predicate(r, as_of) & still
-        out = out.withColumn(f"bad_{r.number}", bad)
-    return out
+            # A subquery sees the batch as the rules before have left it, under the name ``batch``.
+            view = f"batch_{uuid4().hex}"
+            out.where(alive).select(*[F.col(quoted(c)) for c in columns]).createOrReplaceTempView(view)
+            held = out.withColumn("_alive", alive)
+            held.createOrReplaceTempView(f"{view}_all")
+            text = re.sub(r"(?i)\bbatch\b", view, r.predicate.format(as_of=as_of))
+            out = rows.sparkSession.sql(f"SELECT *, _alive AND coalesce(({text}), false) AS bad_{r.number} FROM {view}_all AS s").drop("_alive")
+        if r.quarantine:
+            out = out.withColumn("first_rule", F.when(F.col(f"bad_{r.number}"), F.lit(r.number)).otherwise(F.col("first_rule")))
+    return settle(out)
 
 
 def results(evaluated: DataFrame, entity: Entity, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -107,6 +155,13 @@ def results(evaluated: DataFrame, entity: Entity, rules: tuple[Rule, ...] = RULE
     return flat.withColumn("status", F.when(F.col("bad_rows") > 0, "FAIL").otherwise("PASS"))
 
 
+def message(rule: Rule, bad_rows: int) -> str | None:
+    """What a check row says about its count."""
+    if not bad_rows:
+        return None
+    return f"{bad_rows} rows failed and were " + ("quarantined" if rule.quarantine else "reported only")
+
+
 def business_key(entity: Entity) -> Column:
     return concat(F.lit(f"{entity.key}="), entity.key)
 
@@ -118,9 +173,18 @@ def payload(columns: list[str]) -> Column:
 
 def rejected(evaluated: DataFrame, entity: Entity, columns: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """entity_name, business_key, rejection_reason, row_payload of each quarantined row."""
-    names = F.create_map(*[x for r in rules_of(entity, rules) for x in (F.lit(r.number), F.lit(r.name))])
+    return rejected_in_detail(evaluated, entity, columns, rules).drop("rejection_detail")
+
+
+def rejected_in_detail(evaluated: DataFrame, entity: Entity, columns: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """As ``rejected``, with ``rejection_detail``, the rule's description."""
+    mine = rules_of(entity, rules)
+    of = lambda what: F.create_map(*[x for r in mine for x in (F.lit(r.number), F.lit(what(r)))])[F.col("first_rule")]
     bad = evaluated.where("first_rule is not null")
-    return bad.select(F.lit(entity.name).alias("entity_name"), business_key(entity).alias("business_key"), names[F.col("first_rule")].alias("rejection_reason"), payload(columns).alias("row_payload"))
+    return bad.select(
+        F.lit(entity.name).alias("entity_name"), business_key(entity).alias("business_key"), of(lambda r: r.name).alias("rejection_reason"),
+        of(lambda r: r.description).alias("rejection_detail"), payload(columns).alias("row_payload"),
+    )
 
 
 def survivors(evaluated: DataFrame) -> DataFrame:

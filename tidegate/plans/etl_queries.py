@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.tsql import concat, iso, minutes_between
 from tidegate.operators import checks, load, rules
-from tidegate.sources.entities import DETAIL, HEADER, SOURCE_SQL, Entity, detail, header, read, stamp
+from tidegate.plans.driver_tables import MAPPED_DETAIL as DETAIL
+from tidegate.plans.driver_tables import SOURCE_SQL, detail, header, read
+from tidegate.sources.entities import HEADER, Entity, stamp
 
 START, STOP, SPLIT, AS_OF = "1998-01-01 00:00:00", "1999-01-01 00:00:00", "1998-01-01 00:00:00", "2001-01-01 00:00:00"
 QUERIES: dict = {}
@@ -35,7 +37,7 @@ def evaluated(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
 
 @query(f"WITH {{S}} SELECT SalesOrderID, OrderDate, CustomerID, TotalDue, ModifiedDate FROM h WHERE ModifiedDate >= TIMESTAMP '{START}' AND ModifiedDate < TIMESTAMP '{STOP}'")
 def extract_header_window(spark, sf_dir):
-    return HEADER.extract(header(spark, sf_dir), stamp(START), stamp(STOP)).select("SalesOrderID", "OrderDate", "CustomerID", "TotalDue", "ModifiedDate")
+    return HEADER.extract(header(spark, sf_dir, (START, STOP)), stamp(START), stamp(STOP)).select("SalesOrderID", "OrderDate", "CustomerID", "TotalDue", "ModifiedDate")
 
 
 @query(f"WITH {{S}} SELECT * EXCLUDE (l_tax, l_returnflag, l_linestatus) FROM d WHERE ModifiedDate >= TIMESTAMP '{START}' AND ModifiedDate < TIMESTAMP '{STOP}'")
@@ -158,6 +160,40 @@ _rule_query("rule_dup_detail", (DETAIL,), [25])
 _rule_query("rule_results", (DETAIL, HEADER), list(range(1, 26)))
 
 
+#: Rules of a user: a duplicate key that quarantines, a predicate with a subquery over what the rules before have left.
+OWN_RULES = (
+    rules.Rule(1, DETAIL.name, "OWN_Quantity", "DomainCheck", "OrderQty", "OrderQty <= 0"),
+    rules.Rule(2, DETAIL.name, "OWN_Repeated", "DuplicateCheck", "SalesOrderDetailID", ""),
+    rules.Rule(3, DETAIL.name, "OWN_Dearest", "DomainCheck", "UnitPrice", "UnitPrice = (SELECT max(UnitPrice) FROM batch)"),
+    rules.Rule(4, DETAIL.name, "OWN_Product", "NullCheck", "ProductID", "ProductID IS NULL", False),
+)
+
+
+@query(
+    """WITH {S}, o1 AS (SELECT * FROM d WHERE OrderQty > 0), o2 AS (SELECT * FROM o1 WHERE SalesOrderDetailID NOT IN (SELECT SalesOrderDetailID FROM o1 GROUP BY 1 HAVING count(*) > 1)),
+    o3 AS (SELECT * FROM o2 WHERE UnitPrice < (SELECT max(UnitPrice) FROM o2))
+    SELECT 1 AS rule_id, 'Critical' AS severity, (SELECT count(*) FROM d) - (SELECT count(*) FROM o1) AS bad_rows UNION ALL
+    SELECT 2, 'Critical', (SELECT count(*) FROM o1) - (SELECT count(*) FROM o2) UNION ALL
+    SELECT 3, 'Critical', (SELECT count(*) FROM o2) - (SELECT count(*) FROM o3) UNION ALL
+    SELECT 4, 'Warning', (SELECT count(*) FROM o3 WHERE ProductID IS NULL)"""
+)
+def rule_engine_own_rules(spark, sf_dir):
+    batch = rules.evaluate(detail(spark, sf_dir), DETAIL, AS_OF, OWN_RULES)
+    return rules.results(batch, DETAIL, OWN_RULES).select("rule_id", "severity", "bad_rows")
+
+
+@query(
+    """WITH {S}, o1 AS (SELECT * FROM d WHERE OrderQty > 0), twice AS (SELECT SalesOrderDetailID AS k FROM o1 GROUP BY 1 HAVING count(*) > 1)
+    SELECT 'OWN_Quantity' AS rejection_reason, 'bad if OrderQty <= 0' AS rejection_detail, count(*) AS rejected FROM d WHERE OrderQty <= 0 UNION ALL
+    SELECT 'OWN_Repeated', 'SalesOrderDetailID occurs more than once in the batch', count(*) FROM o1 WHERE SalesOrderDetailID IN (FROM twice) UNION ALL
+    SELECT 'OWN_Dearest', 'bad if UnitPrice = (SELECT max(UnitPrice) FROM batch)', count(*) FROM o1
+      WHERE SalesOrderDetailID NOT IN (FROM twice) AND UnitPrice = (SELECT max(UnitPrice) FROM o1 WHERE SalesOrderDetailID NOT IN (FROM twice))"""
+)
+def rejection_details(spark, sf_dir):
+    batch = rules.evaluate(detail(spark, sf_dir), DETAIL, AS_OF, OWN_RULES)
+    return rules.rejected_in_detail(batch, DETAIL, ["SalesOrderDetailID"], OWN_RULES).groupBy("rejection_reason", "rejection_detail").agg(F.count("*").alias("rejected"))
+
+
 def _taken(chain, base: str, mark: str, columns: str) -> str:
     parts, before = [], base
     for number, bad in chain:
@@ -455,3 +491,10 @@ def scalar_functions(spark, sf_dir):
         minutes_between(F.col("o_orderdate"), F.col("o_orderdate") + F.expr("interval 61 second")).alias("minutes"), F.col("o_orderpriority").try_cast("int").alias("not_a_number"),
         F.greatest(k - 500, F.lit(0).cast("long")).alias("clamped"), (F.col("o_orderdate") + F.expr("interval 1 day")).alias("next_day"), F.col("o_totalprice").cast("decimal(19,4)").cast("decimal(19,2)").alias("rounded"), F.trim(F.lit("  x ")).alias("trimmed"),
     )
+
+
+@query("SELECT SalesOrderID FROM (SELECT o_orderkey AS SalesOrderID, md5('night-1:' || o_orderkey) AS pick FROM orders) ORDER BY pick, SalesOrderID LIMIT 50")
+def seeded_sample(spark, sf_dir):
+    from tidegate.operators import harness
+
+    return harness.sample(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("SalesOrderID")), "SalesOrderID", 50, "night-1")

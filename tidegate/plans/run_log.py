@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.tsql import percent, seconds_between
 from tidegate.operators import checks
-from tidegate.sources.entities import DETAIL, HEADER, read, stamp
+from tidegate.plans.driver_tables import read
+from tidegate.sources.entities import DETAIL, HEADER, stamp
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

@@ -8,9 +8,10 @@ Two counters share a 64-bit sum, so a term costs 32 additions inside generated c
 blocks, at least three of which are equal in any two fingerprints within the radius, so one permuted table for each
 choice of three blocks, keyed by their bits, holds every answer. Only distinct fingerprints enter the tables.
 
-Defined results: a null text is the empty text; a text without words has fingerprint 0; a doc_id that repeats stands
-for its greatest text (by code point) and gives one row; a null doc_id comes first in order; the only document follows
-itself; an empty table gives no rows; extra columns are ignored.
+Defined results: every row gives its row; a null text is the empty text; a text without words has fingerprint 0. Rows
+are in order by doc_id, nulls first, then by the MD5 of their text; of rows that repeat doc_id and text each is
+followed by the next one, and after the last row comes the first. An empty table gives no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from tidegate.llm.common import documents, shuffle_partitions, table
 
 BITS = 64
 RADIUS = 3
-_NO_ID = -(1 << 63)
 
 
 def terms(words: Column) -> Column:
@@ -80,50 +80,62 @@ def within(queries: DataFrame, classes: DataFrame, radius: int = RADIUS) -> Data
     return met.select("query", "fingerprint", distance.alias("distance")).distinct()
 
 
-def followers(ids: DataFrame, key: str) -> DataFrame:
-    """The columns of ``ids`` (unique ``key``, no nulls) and ``next``: the following key, after the last the first.
+def followers(ids: DataFrame) -> DataFrame:
+    """The columns of ``ids`` (unique id and raw), ``key`` (their number in order, with gaps) and ``next``, the id, raw
+    and key of the following row, after the last the first.
 
-    Keys are range-partitioned; inside a partition the next key is a lead, at its end it is the first key of the next
+    Rows are range-partitioned; inside a partition the next row is a lead, at its end it is the first row of the next
     partition, which a table of one row per partition tells.
     """
-    parts = shuffle_partitions(ids.sparkSession)
-    ranged = table(ids.repartitionByRange(parts, key).withColumn("_part", F.spark_partition_id()), "followers")
-    firsts = ranged.groupBy("_part").agg(F.min(key).alias("_first"))
-    in_order = Window.orderBy("_part")
-    first_of_all = F.min("_first").over(Window.partitionBy(F.lit(1)))
-    firsts = firsts.select("_part", F.coalesce(F.lead("_first").over(in_order), first_of_all).alias("_first"))
-    inside = ranged.withColumn("_lead", F.lead(key).over(Window.partitionBy("_part").orderBy(key)))
-    return inside.join(firsts, "_part").select(*ids.columns, F.coalesce("_lead", "_first").alias("next"))
+    parts, order = shuffle_partitions(ids.sparkSession), [F.col("id").asc_nulls_first(), F.col("raw")]
+    ranged = ids.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id().cast("long"))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    ranged = table(ranged, "followers").withColumn("key", F.col("_part") * (1 << 40) + F.row_number().over(inside))
+    me = F.struct("id", "raw", "key")
+    ranged = table(ranged.withColumn("_lead", F.lead(me).over(inside)), "followers-inside")
+    firsts = ranged.groupBy("_part").agg(F.min_by(me, "key").alias("_first"))
+    first_of_all = F.min_by("_first", "_part").over(Window.partitionBy(F.lit(1)))
+    firsts = firsts.select("_part", F.coalesce(F.lead("_first").over(Window.orderBy("_part")), first_of_all).alias("_first"))
+    return ranged.join(firsts, "_part").select(*ids.columns, "key", F.coalesce("_lead", "_first").alias("next"))
 
 
 def edited_fingerprints(docs: DataFrame, radius: int = RADIUS, query_every: int = 100) -> DataFrame:
     """See the module; ``n_within`` of a row whose id ``query_every`` divides counts the other rows in the radius."""
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ids = table(plain.select("key", F.length("text").cast("long").alias("n_chars")), "fingerprint-ids")
-    if not ids.groupBy("key").count().where("count > 1").isEmpty():
-        plain = plain.groupBy("key").agg(F.max("text").alias("text"))
-        ids = table(plain.select("key", F.length("text").cast("long").alias("n_chars")), "fingerprint-ids")
-    chain = table(followers(ids, "key"), "fingerprint-chain")
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    before = chain.select(F.col("next").alias("key"), F.col("key").alias("before"), half.alias("half"))
-    heads = plain.join(before, "key").select(F.col("before").alias("key"), F.col("half"), F.expr("substring(text, 1, half)").alias("head"))
-    joined = plain.join(heads, "key")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("raw"), text.alias("text"))
+    ids = table(plain.groupBy("id", "raw").agg(F.count("*").alias("n"), F.max(F.length("text")).cast("long").alias("n_chars")), "fingerprint-ids")
+    if not ids.where("n > 1").isEmpty():
+        plain = plain.dropDuplicates(["id", "raw"])
+    chain = table(followers(ids), "fingerprint-chain")
+    # Of n equal rows n - 1 are followed by themselves, so such rows have two edited texts.
+    me = F.struct("id", "raw", "key")
+    chain = chain.withColumn("_after", F.explode(F.when(F.col("n") > 1, F.array(F.struct(F.col("next"), F.lit(1).cast("long").alias("times")), F.struct(me.alias("next"), (F.col("n") - 1).alias("times")))).otherwise(F.array(F.struct(F.col("next"), F.lit(1).cast("long").alias("times"))))))
+    chain = chain.select("id", "raw", "key", "n_chars", "_after.*")
+
+    def named(prefix: str, *more: str) -> DataFrame:
+        half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
+        at = F.col("next") if prefix == "next" else me
+        return chain.select(at["id"].alias("_id"), at["raw"].alias("_raw"), "key", F.col("next.key").alias("next"), "times", half, *more)
+
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))
+    heads = plain.join(named("next"), same).select("key", "next", F.expr("substring(text, 1, half)").alias("head"))
+    joined = plain.join(named("own", "n_chars"), same).select("id", "key", "next", "times", "half", "n_chars", "text").join(heads, ["key", "next"])
     edited = F.concat(F.expr("substring(text, 1, length(text) - half)"), F.col("head"))
-    both = joined.select("key", F.length("text").cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    both = both.select("key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.posexplode(F.array("text", "edited")).alias("which", "text"))
-    found = fingerprints(both, ["key", "n_chars", "edited_sha256", "which"])
+    both = joined.select("id", "key", "next", "times", "n_chars", "text", edited.alias("edited"))
+    keys = ["id", "key", "next", "times", "n_chars", "edited_sha256"]
+    both = both.select(*keys[:-1], F.sha2("edited", 256).alias("edited_sha256"), F.posexplode(F.array("text", "edited")).alias("which", "text"))
+    found = fingerprints(both, [*keys, "which"])
     of = lambda which: F.max(F.when(F.col("which") == which, F.col("fingerprint")))
-    rows = table(found.groupBy("key", "n_chars", "edited_sha256").agg(of(0).alias("fingerprint"), of(1).alias("edited")), "fingerprints")
-
-    following = rows.select(F.col("key").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
-    out = rows.join(chain.select("key", "next"), "key").join(following, "next")
-    queries = rows.where((F.col("key") % query_every == 0) & (F.col("key") != _NO_ID))
-    copies = rows.groupBy("fingerprint").agg(F.count("*").alias("copies"))
-    counts = within(queries, copies, radius).join(copies, "fingerprint").groupBy(F.col("query").alias("fingerprint")).agg((F.sum("copies") - 1).alias("_within"))
-    out = out.join(counts, "fingerprint", "left")
-    asked = (F.col("key") % query_every == 0) & (F.col("key") != _NO_ID)
+    rows = table(found.groupBy(*keys).agg(of(0).alias("fingerprint"), of(1).alias("edited")), "fingerprints")
+
+    following = rows.select(F.col("key").alias("next"), F.col("fingerprint").alias("next_fingerprint")).dropDuplicates(["next"])
+    out = rows.join(following, "next")
+    asked = F.coalesce(F.col("id") % query_every == 0, F.lit(False))
+    copies = rows.groupBy("fingerprint").agg(F.sum("times").alias("copies"))
+    counts = within(rows.where(asked), copies, radius).join(copies, "fingerprint").groupBy(F.col("query").alias("fingerprint")).agg((F.sum("copies") - 1).alias("_within"))
+    out = out.join(counts, "fingerprint", "left").withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     return out.select(
-        F.when(F.col("key") != _NO_ID, F.col("key")).alias("doc_id"),
+        F.col("id").alias("doc_id"),
         "n_chars",
         "edited_sha256",
         as_hex(F.col("fingerprint")).alias("fingerprint"),

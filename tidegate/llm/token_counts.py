@@ -1,8 +1,9 @@
 """Token counts with a public sentencepiece model (operator 5).
 
-Texts become segments cut at safe places (a blank after a character that is no blank; no piece of the model has a blank
-inside, and the model's own leading blank stands for the one cut away). Segments, not rows, fill the batches handed to
-the library, so every batch has about the same number of bytes whatever the texts' lengths. Only lengths come back.
+Texts become segments cut at safe places: a blank after a character that is neither white space nor U+2581, which the
+model reads as a blank. No piece of the model has a blank behind another character, and the model's own leading blank
+stands for the one cut away. Segments, not rows, fill the batches handed to the library, so every batch has about the
+same number of bytes whatever the texts' lengths. Only lengths come back.
 
 Defined results: a null text is the empty text with 0 bytes and 0 tokens; repeated rows each give their row; extra
 columns are ignored.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import documents, ship, slices
 
 SEGMENT_CHARS, BATCH_BYTES = 2048, 256 << 10
-_CUT = re.compile(r"(?<=[^ ]) ")
+_CUT = re.compile(r"(?<=[^\s\u2581]) ")
 _loaded: dict = {}
 
 
@@ -58,7 +59,7 @@ class PieceCounter:
                     continue
                 parts.append(part)
                 owners.append(k)
-                held += len(part)
+                held += len(part) if part.isascii() else len(part.encode("utf-8"))
                 if held >= BATCH_BYTES:
                     flush()
                     parts, owners, held = [], [], 0

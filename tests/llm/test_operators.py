@@ -1,7 +1,10 @@
 """Each text operator against a plain version, and on null, empty, repeated, tied and very long rows."""
 
+import gzip
 import hashlib
 import io
+import json
+import math
 import random
 import re
 import zlib
@@ -71,11 +74,19 @@ def test_rank_queue_pops_the_lowest_rank():
 def test_counts_equal_the_library(odd, none, monkeypatch):
     counter = token_counts.counter("piece_bpe_32k.model")
     monkeypatch.setattr(token_counts, "SEGMENT_CHARS", 3)
-    cases = texts(3000, 2)
+    rnd = random.Random(4)
+    cases = texts(3000, 2) + ["".join(rnd.choice(ALPHABET + ["\u2581", "\u2581"]) for _ in range(rnd.randint(0, 16))) for _ in range(6000)]
     assert counter.count(cases).tolist() == [len(x) for x in counter.model.encode(cases)]
+    monkeypatch.undo()
+    rnd = random.Random(3)
+    long = ["".join(rnd.choice(ALPHABET + ["\u2581", " \u2581", "\u2581 "]) for _ in range(3000)) for _ in range(40)] + ["word " * 409 + "abc\u2581 \u2581 the end", "\u2581" * 5000, " " * 5000]
+    assert counter.count(long).tolist() == [len(x) for x in counter.model.encode(long)]
+    assert all(len(s.encode()) < 3 * token_counts.SEGMENT_CHARS for s in counter.segments("wörd " * 4000))
     found = by_id(token_counts.count_tokens(odd))
     assert found[0] == (1, 0, 0, False) and found[1][2] == len(counter.model.encode("a b c d"))
     assert [r for r in found if r[0] == 9][0][2] == len(counter.model.encode(LONG))
+    limit = found[1][2]
+    assert [token_counts.count_tokens(odd.where("doc_id = 3").limit(1), limit=limit - k).first()["over_limit"] for k in (0, 1)] == [False, True]
     assert token_counts.count_tokens(none).count() == 0
 
 
@@ -126,12 +137,46 @@ def test_native_fingerprints(spark, odd, none):
         assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert found[i]["near_next"] == 1 - (fp[i] ^ fp[nxt]).bit_count() / 64
         assert found[i]["n_within"] == sum((fp[i] ^ x).bit_count() <= 9 for x in fp.values()) - 1
-    strange = {r["doc_id"]: r for r in simhash_native.edited_fingerprints(odd).collect()}
-    assert len(strange) == 6 and strange[1]["fingerprint"] == strange[5]["fingerprint"] == "0" * 16 and strange[3]["fingerprint"] == strange[200]["fingerprint"]
-    assert strange[9]["n_chars"] == len(LONG) and simhash_native.edited_fingerprints(none).count() == 0
+    strange = simhash_native.edited_fingerprints(odd).collect()
+    assert sorted((r["doc_id"] or 0) for r in strange) == [0, 1, 3, 3, 5, 9, 200]
+    of = {r["doc_id"]: r for r in strange}
+    assert of[1]["fingerprint"] == of[5]["fingerprint"] == "0" * 16 and of[3]["fingerprint"] == of[200]["fingerprint"]
+    assert of[9]["n_chars"] == len(LONG) and simhash_native.edited_fingerprints(none).count() == 0
     assert simhash_native.edited_fingerprints(odd.where("doc_id = 9")).first()["near_next"] == 1.0
 
 
+def test_native_fingerprints_of_every_row(spark):
+    """Repeated and null ids, also the least integer: a row each, in the stated order; fingerprints recomputed plainly."""
+    import xxhash
+
+    rnd = random.Random(12)
+    rows = [(rnd.choice([None, -(1 << 63), *range(12)]), rnd.choice(["", None, "one two", *[" ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(1, 30))) for _ in range(8)]])) for _ in range(90)]
+
+    def chained(*values):  # the engine hashes several values one after another, each seeded by the last
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest(v.encode(), h)
+        return h
+
+    def plain(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+        h = [chained(*words[k : k + 3]) for k in range(len(words) - 2)] if len(words) >= 3 else [chained(" ".join(words))] if words else []
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    whole = sorted(((i is not None, i or 0, hashlib.md5((t or "").encode()).digest(), t or "") for i, t in rows), key=lambda r: r[:3])
+    expected = []
+    for at, (known, i, _, text) in enumerate(whole):
+        following = whole[(at + 1) % len(whole)][3]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        a, b, c = plain(text), plain(edited), plain(following)
+        near = lambda x, y: 1 - (x ^ y).bit_count() / 64
+        expected.append((i if known else None, len(text), hashlib.sha256(edited.encode()).hexdigest(), f"{a:016x}", f"{b:016x}", near(a, b), near(a, c)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = [tuple(r)[:7] for r in simhash_native.edited_fingerprints(docs).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+
+
 def slow_fingerprint(text):
     import xxhash
 
@@ -163,157 +208,6 @@ def test_gray_index_finds_all_links(spark, odd, none):
     assert len(strange) == 7 and strange[0][1:] == ("0" * 16, 1) and strange[-1][2] is None
     assert [r[2] for r in strange if r[0] in (3, 200)] == [3, 3, 3]
     assert simhash_gray.near_duplicates(none).count() == 0
-    kept = simhash_gray.one_of_each(odd)
-    assert kept.columns == odd.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 3, 9]
-
-
-def test_wide_links_are_those_of_brute_force(spark):
-    rnd = random.Random(5)
-    rows = []
-    for k in range(40):
-        words = [f"w{rnd.randrange(900)}" for _ in range(200)]
-        rows.append((len(rows), " ".join(words)))
-        for edits in (1, 2, 4):  # likeness of word runs about 0.95, 0.9 and 0.8
-            copy = list(words)
-            for place in rnd.sample(range(200), edits):
-                copy[place] = "edited"
-            rows.append((len(rows), " ".join(copy)))
-    rows += [(len(rows), ""), (len(rows) + 1, None), (None, "no id")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    prints = simhash_gray.fingerprints(docs, 5, True)
-    found = {r["doc_id"]: r["component_id"] for r in simhash_gray.components(prints, 6, wide_apart=43).collect()}
-    bits = {i: simhash_gray.sketch(t or "", 5, 4) for i, t in rows if i is not None}
-    label = {i: i for i in bits}
-    for b in sorted(bits):
-        for a in range(b):
-            if int(np.bitwise_count(bits[a] ^ bits[b]).sum()) <= 43 and label[a] != label[b]:
-                low, high = sorted((label[a], label[b]))
-                label = {i: low if c == high else c for i, c in label.items()}
-    assert found.pop(None) is None
-    assert all(found[i] >= label[i] for i in label)  # nothing is linked that brute force leaves apart
-    assert sum(found[i] == label[i] for i in label) >= 0.97 * len(label)
-    assert bits[0][0] == simhash_gray.fingerprint(rows[0][1], 5)
-
-
-def test_spanning_forest_joins_what_links_join_by_the_closest():
-    rnd = np.random.default_rng(3)
-    for n, m in ((1, 0), (6, 0), (30, 25), (40, 300)):
-        a = rnd.integers(0, n, m)
-        b = (a + rnd.integers(1, max(n, 2), m)) % n
-        apart = rnd.integers(0, 6, m)
-        keep = simhash_gray.spanning_forest(n, a, b, apart)
-        label, weight, links = list(range(n)), 0, 0
-        for k in sorted(range(m), key=lambda k: (apart[k], k)):  # one link at a time
-            x, y = label[a[k]], label[b[k]]
-            if x != y:
-                label = [x if z == y else z for z in label]
-                weight, links = weight + apart[k], links + 1
-        assert len(keep) == len(set(keep.tolist())) == links and apart[keep].sum() == weight
-
-
-def test_likeness_decides_over_wide_candidates(spark, none):
-    rnd = random.Random(8)
-    rows = []
-    for _ in range(30):
-        words = [f"w{rnd.randrange(900)}" for _ in range(150)]
-        for edits in (0, 1, 3, 6, 12):
-            copy = list(words)
-            for place in rnd.sample(range(150), edits):
-                copy[place] = "edited"
-            rows.append((len(rows), " ".join(copy)))
-    rows += [(len(rows) + k, t) for k, t in enumerate(["", None, "one two", "One  two", "one three", "x " * 50_000, rows[0][1], rows[1][1]])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("extra"))
-    kept = {r["doc_id"] for r in simhash_gray.one_of_each(docs, 6, 5, 53, 0.8).collect()}
-    label = dict(enumerate(range(len(rows))))
-    near = 0
-    for y, (_, two) in enumerate(rows):
-        for x in range(y):
-            if simhash_gray.likeness(rows[x][1] or "", two or "", 5) >= 0.8 and label[x] != label[y]:
-                low, high = sorted((label[x], label[y]))
-                label, near = {k: low if c == high else c for k, c in label.items()}, near + 1
-    brute = {k for k, c in label.items() if k == c}
-    # At likeness 0.8 a bit agrees with probability 0.849, so two of eight blocks agree in one of two fingerprints with
-    # probability 0.9; half of these copies are that far apart.
-    assert near > 40 and brute <= kept and len(kept - brute) <= 0.1 * near
-    every = spark.createDataFrame([(x, y) for x in range(40) for y in range(40)], "a long, b long")
-    found = sorted(tuple(r) for r in simhash_gray.alike(every, docs, 5, 0.8).collect())
-    assert found == [(x, y) for x in range(40) for y in range(x + 1, 40) if simhash_gray.likeness(rows[x][1], rows[y][1], 5) >= 0.8]
-    assert simhash_gray.likeness("a b c", "a b  C", 5) == 1 and simhash_gray.likeness("", " ", 5) == 1 and simhash_gray.likeness("a", "", 5) == 0
-    assert simhash_gray.alike(every.limit(0), docs, 5, 0.8).count() == 0
-    assert simhash_gray.one_of_each(none, 6, 5, 53, 0.8).count() == 0
-
-
-def test_hot_keys_lose_no_wide_links(spark):
-    """Pairs that share one key, a hot one: a bit differs in every other block, and in every block of what is left."""
-    rnd = random.Random(11)
-    further, other = sum(1 << b for b in (16, 22, 28, 34, 40, 46, 52, 58)), sum(1 << b for b in range(0, 64, 8))
-    rows = []
-    for _ in range(100):
-        prints = [rnd.getrandbits(48) << 16] + [rnd.getrandbits(64) for _ in range(3)]
-        rows += [prints, [prints[0] ^ further] + [p ^ other for p in prints[1:]]]
-    signed = [(k, *(p - (1 << 64) if p >> 63 else p for p in r)) for k, r in enumerate(rows)]
-    prints = spark.createDataFrame(signed, "doc_id long, fp long, wide1 long, wide2 long, wide3 long")
-    for limit in (8, 100_000):
-        found = {r["doc_id"]: r["component_id"] for r in simhash_gray.components(prints, 6, limit=limit, wide_apart=32).collect()}
-        assert all(found[k] == k // 2 * 2 for k in range(200))
-
-
-def edited(words, edits, rnd):
-    copy = list(words)
-    for place in edits if isinstance(edits, list) else rnd.sample(range(len(words)), edits):
-        copy[place] = f"e{rnd.random()}"
-    return " ".join(copy)
-
-
-def test_copies_find_their_base_among_closer_ones(spark):
-    """1,000 copies alike to one base only; each other pair is a candidate of about 0.71. Against brute force."""
-    rnd = random.Random(21)
-    words = [f"w{rnd.randrange(90_000)}" for _ in range(500)]
-    rows = [(0, " ".join(words))] + [(k, edited(words, [55 * p + rnd.randrange(50) for p in range(9)], rnd)) for k in range(1, 1001)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    kept = {r["doc_id"] for r in simhash_gray.one_of_each(docs, 6, 5, 53, 0.8).collect()}
-    runs = [simhash_gray.runs_of(t, 5) for _, t in rows]
-    at = {r: k for k, r in enumerate(np.unique(np.concatenate(runs)).tolist())}
-    has = np.zeros((len(rows), len(at)), np.float32)
-    for k, r in enumerate(runs):
-        has[k, [at[x] for x in r.tolist()]] = 1
-    common = has @ has.T
-    near = common / (has.sum(1)[:, None] + has.sum(1)[None] - common) >= 0.8
-    assert near[0].all() and near.sum() < 3.1 * len(rows)
-    # Candidates by brute force: two blocks of eight equal in a fingerprint that differs in 16 bits at most, 53 in all.
-    prints = np.array([simhash_gray.sketch(t, 5, 4) for _, t in rows])
-    bits = np.bitwise_count(prints[:, None] ^ prints[None]).astype(int)
-    met = np.zeros(near.shape, bool)
-    for k in range(simhash_gray.KEYED):
-        blocks = np.ascontiguousarray(prints[:, k]).view(np.uint8).reshape(-1, 8)
-        met |= ((blocks[:, None] == blocks[None]).sum(2) >= 2) & (bits[:, :, k] <= 16)
-    labels = settle(np.arange(len(rows)), *np.nonzero(near & met & (bits.sum(2) <= 53)))
-    print("kept", len(kept), "brute force", len(set(labels.tolist())))
-    assert kept == set(labels.tolist())
-
-
-def test_texts_equal_in_all_bits_are_compared(spark):
-    rnd = random.Random(31)
-    filler = [". . . . . " * 80, "one two three four five\n" * 400]
-    texts = [filler[k % 2] + " ".join(f"w{rnd.random()}" for _ in range(300)) for k in range(20)]
-    rows = [*enumerate(texts), (20, texts[4].upper()), (21, texts[7] + " tail")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert len({simhash_gray.sketch(t, 5, 4).tobytes() for t in texts}) == 2
-    kept = sorted(r["doc_id"] for r in simhash_gray.one_of_each(docs, 6, 5, 53, 0.8).collect())
-    assert kept == list(range(20))
-
-
-def test_lone_pairs_near_the_threshold_are_found(spark):
-    from corpus_pipeline import drop_near_copies
-
-    rnd = random.Random(41)
-    rows = []
-    for k in range(600):  # 8 of 396 words edited: a likeness of 0.81
-        words = [f"v{rnd.randrange(90_000)}" for _ in range(396)]
-        rows += [(2 * k, " ".join(words)), (2 * k + 1, edited(words, [44 * p + 10 + rnd.randrange(20) for p in range(8)], rnd))]
-    assert 0.8 <= simhash_gray.likeness(rows[0][1], rows[1][1], 5) < 0.82
-    kept = {r["doc_id"] for r in drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
-    assert set(range(0, 1200, 2)) <= kept and len(kept) - 600 <= 0.02 * 600
 
 
 def test_mix(spark, odd, none):
@@ -345,7 +239,7 @@ def test_mix(spark, odd, none):
     assert mixing.repeated(odd).columns == odd.columns
 
 
-def test_toxicity(spark, odd, none):
+def test_toxicity(spark, odd, none, monkeypatch):
     rnd = random.Random(7)
     plain, bad = [f"word{k}" for k in range(60)], ["vekan", "vekor", "vekul", "slur"]
     rows, labels = [], []
@@ -367,6 +261,20 @@ def test_toxicity(spark, odd, none):
     assert np.mean([any(b in c for b in bad) for c in caught]) > 0.95
     kept = toxicity.without_toxic(docs, model)
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] == 0 for r in scored.values())
+    again = toxicity.train(docs.repartition(5), marks.repartition(3))
+    assert again.crf.weights == model.crf.weights and (again.logistic == model.logistic).all()
+    long = [(5000 + k, " ".join([rnd.choice(plain) for _ in range(9000)] + (bad * 60 if k % 2 else [])), "en", "a", 0) for k in range(12)]
+    more = docs.union(spark.createDataFrame(long, DOCS))
+    marked = marks.union(spark.createDataFrame([(r[0], 1, k % 2) for k, r in enumerate(long)], marks.schema))
+    wide = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(more, toxicity.train(more, marked)).where("doc_id >= 5000").collect()}
+    assert sum(wide[5000 + k] == k % 2 for k in range(12)) >= 11
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 60)
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 40)
+    small = [toxicity.train(d, marks) for d in (docs, docs.repartition(7))]
+    assert small[0].crf.weights == small[1].crf.weights
+    monkeypatch.setattr(toxicity, "MAX_CHARS", 9000)
+    assert len(toxicity.train(docs, marks).crf.weights) <= len(small[0].crf.weights)
+    monkeypatch.undo()
     strange = toxicity.score_documents(odd, model).collect()
     assert len(strange) == 7 and all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in strange)
     untrained = toxicity.train(none, marks.limit(0))
@@ -386,6 +294,20 @@ def test_field_marginals_equal_enumeration():
     places = [k for k, v in enumerate(values) if v]
     expected = [sum(w for y, w in weigh.items() if y[k]) / total for k in places]
     assert crf.marginals(places, [values[k] for k in places], 6) == pytest.approx(expected)
+    slow = toxicity.Field({}, -3.0, -9.0, -9.0, 2.9)  # its states hardly mix, so far words still count
+    for n in (100, 300, 5000):
+        values = np.zeros(n)
+        values[[10, n - 5]] = 4.0, 2.0
+        step = np.array([[0.0, -9.0 - 3.0], [-9.0, 2.9 - 3.0]])  # from label to label, with the bias of the label entered
+        ahead, behind = np.zeros((n, 2)), np.zeros((n, 2))
+        ahead[0] = 0.0, -3.0 + values[0]
+        for t in range(1, n):
+            ahead[t] = np.logaddexp(ahead[t - 1, 0] + step[0], ahead[t - 1, 1] + step[1]) + [0.0, values[t]]
+        for t in range(n - 2, -1, -1):
+            behind[t] = np.logaddexp(step[:, 0] + behind[t + 1, 0], step[:, 1] + values[t + 1] + behind[t + 1, 1])
+        whole = ahead + behind
+        exact = np.exp(whole[:, 1] - np.logaddexp(whole[:, 0], whole[:, 1]))
+        assert slow.marginals([10, n - 5], [4.0, 2.0], n) == pytest.approx(exact[[10, n - 5]])
 
 
 def test_embeddings(spark):
@@ -399,21 +321,42 @@ def test_embeddings(spark):
     unit = np.array(points) / np.linalg.norm(points, axis=1)[:, None]
     cosine = unit @ unit.T
     exact = cosine >= 0.9
-    for limit in (2048, 4):
-        found = {r["vec_id"]: r for r in embeddings.link_vectors(frame, recall=0.999, limit=limit).collect()}
+    for limit in (4096, 8):
+        found = {r["vec_id"]: r for r in embeddings.link_vectors(frame, limit=limit).collect()}
         links = sum(found[k]["n_links"] for k in range(n))
-        assert links >= 0.97 * (exact.sum() - n) and all(found[k]["n_links"] <= exact[k].sum() - 1 for k in range(n))
+        assert links >= 0.9 * (exact.sum() - n) and all(found[k]["n_links"] <= exact[k].sum() - 1 for k in range(n))
         assert found[0]["n_links"] >= 2 and found[n - 1]["component_id"] == 0 and found[0]["kept"] and not found[n - 1]["kept"]
         assert all(found[k]["n_links"] == 0 and found[k]["component_id"] == k and found[k]["kept"] for k in range(n, n + 6))
         assert found[None]["component_id"] is None
     assert embeddings.link_vectors(frame.limit(0)).count() == 0
 
 
+def test_embeddings_at_the_threshold(spark):
+    """Recall by default of pairs just above 0.9, and repeated ids with vectors of their own."""
+    rng = np.random.default_rng(18)
+    points = []
+    for k in range(1500):
+        a, b = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        cosine = 0.9 + 0.01 * rng.random() if k % 3 else 0.899
+        points += [a, cosine * a + math.sqrt(1 - cosine**2) * b]
+    unit = np.array(points) / np.linalg.norm(points, axis=1)[:, None]
+    exact = (unit @ unit.T >= 0.9).sum(1) - 1
+    frame = spark.createDataFrame([(k, p.tolist()) for k, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in embeddings.link_vectors(frame).collect()}
+    links = np.array([found[k]["n_links"] for k in range(len(points))])
+    print("links found", links.sum(), "of", exact.sum())
+    assert (links <= exact).all() and links.sum() >= 0.92 * exact.sum()
+    assert all(found[2 * k + 1]["component_id"] == 2 * k + (links[2 * k] == 0) for k in range(1500))
+    two = [(5, points[0]), (5, points[3]), (5, points[3]), (6, points[3] * 2), (7, points[0]), (8, points[0] + 1e-9), (9, points[9])]
+    rows = [tuple(r) for r in embeddings.link_vectors(spark.createDataFrame([(k, p.tolist()) for k, p in two], "vec_id long, embedding array<double>"), recall=0.9999).collect()]
+    assert sorted(rows) == sorted([(5, 2, 5, True), (5, 2, 5, True), (5, 2, 5, True), (6, 2, 5, False), (7, 2, 5, False), (8, 2, 5, False), (9, 0, 9, True)])
+
+
 def test_code_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(9)
     units = rng.standard_normal((400, 64))
     units /= np.linalg.norm(units, axis=1)[:, None]
-    codes = embeddings.Codes(units)
+    codes = embeddings.Codes(embeddings.encode(units, np.zeros((400, 1), np.int64)), 64)
     a, b = np.arange(0, 200), np.arange(200, 400)
     exact = np.einsum("ij,ij->i", units[a], units[b])
     upper = codes.upper(a, b)
@@ -461,10 +404,11 @@ def test_warc(spark):
     for info in store.get_file_info(fs.FileSelector(root)):
         with store.open_input_stream(info.path, compression=None) as source:
             written += list(warc.read_records(source))
-    assert sorted(h["WARC-Type"] for h, _ in written) == ["conversion"] * 4 + ["metadata"] * 4
+    assert sorted(h.get("WARC-Type") for h, _ in written) == ["conversion"] * 4 + ["metadata"] * 4
     sources = {r["refers_to"] for r in found}
     for headers, block in written:
-        assert headers["WARC-Refers-To"] in sources and headers["WARC-Block-Digest"] == warc.digest(block)
+        assert headers.get("WARC-Refers-To") in sources and headers.get("WARC-Block-Digest") == warc.digest(block)
+    assert len(sources) == 4 and len({h.get("warc-record-id") for h, _ in written}) == 8
     broken = warc.response("1", "u", "x")
     with pytest.raises(ValueError):
         list(warc.read_records(io.BytesIO(broken[:-8])))
@@ -475,6 +419,27 @@ def test_warc(spark):
     assert warc.derivatives(warc.write_responses(empty, folder), folder).count() == 0
 
 
+@pytest.mark.parametrize("chunked", [False, True])
+@pytest.mark.parametrize("coding", ["", "gzip", "deflate", "raw deflate", "br"])
+def test_warc_headers_and_bodies(coding, chunked):
+    text = PAGE.encode()
+    packed = {"": text, "gzip": gzip.compress(text), "deflate": zlib.compress(text), "raw deflate": zlib.compress(text)[2:-4], "br": b"\x0b\x02"}[coding]
+    body = b"".join(f"{len(packed[k : k + 100]):X};x=1\r\n".encode() + packed[k : k + 100] + b"\r\n" for k in range(0, len(packed), 100)) + b"0\r\n\r\n" if chunked else packed
+    lines = ["HTTP/1.1 203 Fine", "set-cookie: a=1", "Set-Cookie: b=2", "X-Long: one", "\ttwo", "CONTENT-TYPE: text/html; charset=utf-8"]
+    lines += ["transfer-encoding: Chunked"] * chunked + [f"content-encoding: {coding.rpartition(' ')[2]}"] * bool(coding)
+    block = "\r\n".join(lines).encode() + b"\r\n\r\n" + body
+    head = f"warc-type: response\r\nWARC-Record-ID: <urn:x>\r\nWARC-Concurrent-To: <urn:a>\r\nwarc-concurrent-to: <urn:b>\r\nwarc-payload-digest: {warc.digest(packed)}\r\ncontent-length: {len(block)}"
+    source = io.BytesIO(warc.member(b"WARC/1.0\r\n" + head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n") * 2)
+    found = list(warc.read_records(source))
+    assert len(found) == 2 and found[0][1] == block
+    made = warc.derive(*found[0])
+    about = json.loads(made["records"].split(b"\r\n\r\n")[1])["Envelope"]
+    assert about["WARC-Header-Metadata"]["WARC-Concurrent-To"] == ["<urn:a>", "<urn:b>"]
+    assert about["HTTP-Response-Metadata"]["Headers"]["set-cookie"] == ["a=1", "b=2"] and about["HTTP-Response-Metadata"]["Headers"]["X-Long"] == "one two"
+    assert made["sound"] and made["refers_to"] == "<urn:x>" and made["http_status"] == 203
+    assert made["text"] == ("" if coding == "br" else warc.plain_text(PAGE)) and made["title"] == ("" if coding == "br" else "T & x")
+
+
 def test_components(spark):
     rnd = random.Random(11)
     pairs = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 440)] + [(None, 1), (7, 7)]

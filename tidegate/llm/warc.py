@@ -5,10 +5,14 @@ links) and a ``conversion`` record (text/plain). Both name the response in WARC-
 and carry digests of their own block and payload; the conversion also names its metadata record as concurrent. Record
 ids are name-based on the response's id, so a repeated task makes equal records.
 
+Header names are read whatever their case, folded lines are joined, and a header that repeats keeps all its values, in
+order (a list in the JSON). The body is read without its chunks and decompressed (gzip, deflate); a body of another or a
+broken coding gives what could be read. A payload digest may be of the body with its chunks or without them.
+
 Files hold one gzip member per record. They are read as streams, record by record, so no task holds a file. Writers use
 a name of the attempt and then rename. Defined results: null html is an empty page and a null url the empty target;
-repeated pages give records of their own number; digests that do not fit their block are reported in ``sound``, not
-dropped; an empty table gives no rows; extra columns are ignored.
+repeated pages give records with ids of their own (by file and place); digests that do not fit their block are reported
+in ``sound``, not dropped; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,6 +62,32 @@ def member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+class Headers(list):
+    """Pairs of name and value in order; names are the same whatever their case."""
+
+    @classmethod
+    def read(cls, lines: list[str]) -> Headers:
+        out = cls()
+        for line in lines:
+            if line[:1] in (" ", "\t") and out:
+                out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}".strip())
+            elif ":" in line:
+                name, value = line.split(":", 1)
+                out.append((name.strip(), value.strip()))
+        return out
+
+    def get(self, name: str, default: str = "") -> str:
+        return next((v for k, v in self if k.lower() == name.lower()), default)
+
+    def as_json(self) -> dict:
+        """Each name as it was first written, with its value or the list of its values."""
+        values: dict[str, list[str]] = {}
+        names: dict[str, str] = {}
+        for k, v in self:
+            values.setdefault(names.setdefault(k.lower(), k), []).append(v)
+        return {k: v[0] if len(v) == 1 else v for k, v in values.items()}
+
+
 def response(name: str, url: str, page: str, date: str = DATE) -> bytes:
     payload = page.encode("utf-8")
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
@@ -73,6 +103,38 @@ def response(name: str, url: str, page: str, date: str = DATE) -> bytes:
     return record(headers, block)
 
 
+def unchunked(body: bytes) -> bytes:
+    """The body without its chunk lines, as far as they can be read."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(body[at:end].split(b";")[0], 16)
+        except ValueError:
+            break
+        if not size:
+            break
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(out)
+
+
+def decompressed(body: bytes, coding: str) -> bytes:
+    kind = coding.strip().lower()
+    if kind not in ("gzip", "x-gzip", "deflate"):
+        return body if kind in ("", "identity") else b""
+    for bits in (47, -15) if kind == "deflate" else (47,):
+        z = zlib.decompressobj(bits)
+        out = []
+        try:
+            for at in range(0, len(body), _READ):  # what stands before a fault is kept
+                out.append(z.decompress(body[at : at + _READ]))
+        except zlib.error:
+            if not any(out):
+                continue
+        return b"".join(out)
+    return b""
+
+
 def _bytes_of(source) -> Iterator[bytes]:
     """Plain bytes of a stream of gzip members, or of an uncompressed one."""
     start = source.read(_READ)
@@ -91,7 +153,7 @@ def _bytes_of(source) -> Iterator[bytes]:
             start = source.read(_READ)
 
 
-def read_records(source) -> Iterator[tuple[dict[str, str], bytes]]:
+def read_records(source) -> Iterator[tuple[Headers, bytes]]:
     """(headers, block) of each record; a cut last record raises ValueError."""
     pieces, held = _bytes_of(source), bytearray()
 
@@ -117,9 +179,8 @@ def read_records(source) -> Iterator[tuple[dict[str, str], bytes]]:
         del held[: end + 4]
         if not lines[0].startswith("WARC/"):
             raise ValueError("not a WARC record")
-        headers = dict(x.split(":", 1) for x in lines[1:] if ":" in x)
-        headers = {k.strip(): v.strip() for k, v in headers.items()}
-        length = int(headers.get("Content-Length", 0))
+        headers = Headers.read(lines[1:])
+        length = int(headers.get("Content-Length", "0"))
         if not need(length):
             raise ValueError("a record's block is cut")
         yield headers, bytes(held[:length])
@@ -132,24 +193,30 @@ def plain_text(page: str) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def derive(headers: dict[str, str], block: bytes) -> dict:
+def derive(headers: Headers, block: bytes) -> dict:
     """The metadata and conversion records of a response, and what they say."""
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *rest = head.decode("latin-1").split("\r\n")
-    http = {k.strip(): v.strip() for k, v in (x.split(":", 1) for x in rest if ":" in x)}
-    kind = next((v for k, v in http.items() if k.lower() == "content-type"), "")
+    http = Headers.read(rest)
+    body, whole = payload, {digest(payload)}
+    if "chunked" in http.get("Transfer-Encoding").lower():
+        body = unchunked(payload)
+        whole.add(digest(body))
+    for coding in reversed(http.get("Content-Encoding").split(",")):
+        body = decompressed(body, coding)
+    kind = http.get("Content-Type")
     charset = re.search(r"charset=[\"']?([\w-]+)", kind, re.I)
     try:
-        page = payload.decode(charset[1] if charset else "utf-8", "replace")
+        page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
-    source, target, date = headers.get("WARC-Record-ID", ""), headers.get("WARC-Target-URI", ""), headers.get("WARC-Date", "")
-    sound = headers.get("WARC-Payload-Digest", digest(payload)) == digest(payload) and headers.get("WARC-Block-Digest", digest(block)) == digest(block)
+        page = body.decode("utf-8", "replace")
+    source, target, date = headers.get("WARC-Record-ID"), headers.get("WARC-Target-URI"), headers.get("WARC-Date")
+    sound = headers.get("WARC-Payload-Digest", digest(payload)) in whole and headers.get("WARC-Block-Digest", digest(block)) == digest(block)
     title = _TITLE.search(page)
     title = " ".join(html.unescape(title[1]).split()) if title else ""
     links = [html.unescape("".join(x)) for x in _LINK.findall(_SILENT.sub(" ", page))]
     code = status.split(" ")[1] if status.startswith("HTTP/") and " " in status else ""
-    about = {"Envelope": {"WARC-Header-Metadata": headers, "HTTP-Response-Metadata": {"Status": code, "Headers": http}, "HTML-Metadata": {"Title": title, "Links": links}}}
+    about = {"Envelope": {"WARC-Header-Metadata": headers.as_json(), "HTTP-Response-Metadata": {"Status": code, "Headers": http.as_json()}, "HTML-Metadata": {"Title": title, "Links": links}}}
     about_block = json.dumps(about, ensure_ascii=False).encode("utf-8")
     text = plain_text(page)
     text_block = text.encode("utf-8")
@@ -186,7 +253,7 @@ def write_responses(pages: DataFrame, folder: str) -> DataFrame:
             for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 # Written by our own code, one gzip member a record: the store must not compress again.
                 out = out or store.open_output_stream(attempt, compression=None)
-                out.write(member(response(str(page_id), url or "", page or "")))
+                out.write(member(response(f"{page_id} {name.rpartition('/')[2]} {n}", url or "", page or "")))
                 n += 1
         if out:
             out.close()
@@ -222,7 +289,7 @@ def derivatives(files: DataFrame, folder: str, write_to: str | None = None) -> D
                     out = target.open_output_stream(attempt, compression=None)
                 with store.open_input_stream(path, compression=None) as source:
                     for headers, block in read_records(source):
-                        if headers.get("WARC-Type") != "response":
+                        if headers.get("WARC-Type").lower() != "response":
                             continue
                         made = derive(headers, block)
                         for x in (made.pop("records"), made.pop("conversion")):

@@ -6,9 +6,10 @@ clean one is. The field has two labels, weights for features, a bias and transit
 conditional likelihood (forward-backward). The marginals of a document (their sum, rate and maximum) go through a
 logistic regression that was fitted on marginals from the other half of the training rows, so that scores are honest.
 
-The fit sees a bounded sample: at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled rows drawn by hash, of texts up to
-``MAX_CHARS`` characters. Scoring sees whole texts: words without any known feature form stretches whose forward and
-backward maps have closed forms, so only the others cost a step each.
+The fit sees a bounded sample: at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled rows in the order of a seeded hash, and of
+them, in that order, as many as have ``MAX_CHARS`` characters together. Texts of any length are drawn; for the field's
+gradients long ones are cut into sequences of ``SEQUENCE`` words. Scoring sees whole texts: a stretch of words without
+any known feature is a power of one matrix, so only the other words cost a step each.
 
 Defined results: a null text is the empty text and is scored like any text without words; a null doc_id counts as held
 out; without labelled rows of both kinds every score is the share of toxic rows (0 if there are none); repeated rows
@@ -25,17 +26,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import documents, ship, slices
 
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 1500, 5000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 1500, 6_000_000
 THRESHOLD = 0.7
 ROUNDS = 25
 _WORDS = re.compile(r"\w+").findall
 _PREFIXES = (3, 4, 5, 6, 7)
 _STRETCH = 64
+SEQUENCE = 400
+_COLUMNS = 256
 
 
 def lowered(text: str) -> str:
@@ -67,24 +70,24 @@ class Field:
             for powers, m in ((self.ahead, step), (self.behind, back)):
                 nxt = powers[-1] @ m
                 powers.append(nxt / nxt.max())
-        self.ahead = [tuple(m.ravel().tolist()) for m in self.ahead]
-        self.behind = [tuple(m.ravel().tolist()) for m in self.behind]
+        self.ahead = _Powers(self.ahead)
+        self.behind = _Powers(self.behind)
         self.lexicon: dict[str, float] = _Lexicon(self.weights)
 
     def marginals(self, places: list[int], values: list[float], n: int) -> list[float]:
         """Probability of the toxic label at ``places``, whose feature sums are ``values``, among ``n`` words."""
         e, eb = math.exp, math.exp(self.bias)
         ei, eo, es = e(self.into), e(self.out_of), e(self.stay)
-        ahead, behind, stretch = self.ahead, self.behind, _STRETCH
+        ahead, behind = self.ahead, self.behind
         forward, r, last = [], None, -1
         for at, v in zip(places, values, strict=True):
             gap = at - last - 1
             if r is None:
                 if gap:
-                    a, b, c, d = ahead[min(gap - 1, stretch)]
+                    a, b, c, d = ahead[gap - 1]
                     r = (a * eb + b) / (c * eb + d)
             elif gap:
-                a, b, c, d = ahead[min(gap, stretch)]
+                a, b, c, d = ahead[gap]
                 r = (a * r + b) / (c * r + d)
             u = e(min(30.0, self.bias + v))
             r = u if r is None else u * (ei + es * r) / (1 + eo * r)
@@ -97,7 +100,7 @@ class Field:
                 u = e(min(30.0, self.bias + values[k + 1]))
                 q = (eo + es * u * q) / (1 + ei * u * q)
             if gap:
-                a, b, c, d = behind[min(gap, stretch)]
+                a, b, c, d = behind[gap]
                 q = (a * q + b) / (c * q + d)
             odds = forward[k] * q
             out.append(odds / (1 + odds))
@@ -115,6 +118,31 @@ class Field:
         return len(words), at, self.marginals(at, values[places].tolist(), len(words))
 
 
+class _Powers(dict):
+    """Powers of a matrix up to a factor, as tuples: the first ones given, others by squaring when first asked for; bounded."""
+
+    def __init__(self, first: list[np.ndarray]):
+        super().__init__((n, tuple(m.ravel().tolist())) for n, m in enumerate(first))
+        self.first = first
+
+    def __missing__(self, n: int) -> tuple[float, ...]:
+        out, square, left = self.first[n % _STRETCH], self.first[_STRETCH], n // _STRETCH
+        while left:
+            if left & 1:
+                out = out @ square
+                out = out / out.max()
+            square = square @ square
+            square = square / square.max()
+            left >>= 1
+        if len(self) > 50_000:
+            self.clear()
+        self[n] = found = tuple(out.ravel().tolist())
+        return found
+
+    def __reduce__(self):
+        return _Powers, (self.first,)
+
+
 class _Lexicon(dict):
     """Feature sums by word, made when first asked for; bounded."""
 
@@ -153,58 +181,78 @@ def known_features(words: list[set[str]], toxic: np.ndarray) -> dict[str, float]
     return out
 
 
-def fit_field(texts: list[str], toxic: np.ndarray) -> Field:
-    """The conditional random field of training documents by full-batch gradients with per-weight steps."""
-    words = [_WORDS(lowered(t)) for t in texts]
-    odds = known_features([set(w) for w in words], toxic)
-    names = sorted(odds)
-    number = {f: i for i, f in enumerate(names)}
-    strong = {f for f, x in odds.items() if x > 2.5}
-    order = sorted(range(len(words)), key=lambda k: -len(words[k]))
-    lengths = np.array([len(words[k]) for k in order], np.int64)
-    steps = int(lengths.max(initial=0))
-    if not names or not steps:
-        return Field()
-    width = len(order)
-    labels = np.zeros((steps, width), bool)
-    where, what = [], []
-    for row, k in enumerate(order):
-        for t, w in enumerate(words[k]):
-            if known := [number[f] for f in features(w) if f in number]:
-                where += [t * width + row] * len(known)
-                what += known
-                labels[t, row] = toxic[k] and any(names[i] in strong for i in known)
-    where, what = np.array(where), np.array(what)
-    active = [int(np.searchsorted(-lengths, -t, "left")) for t in range(steps)]  # documents longer than t words
-    weight = np.array([0.5 * min(4.0, odds[f]) for f in names])
-    shape = np.array([-4.0, 0.0, 0.0, 0.0])  # bias, into, out of, stay
-    moves, speed, before = np.concatenate((weight, shape)), np.full(len(names) + 4, 0.1), np.zeros(len(names) + 4)
-    target = np.bincount(what, labels.ravel()[where], len(names))
-    mask = np.arange(steps)[:, None] < lengths[None, :]
-    pairs = labels[1:] & mask[1:], labels[:-1]
-    seen = np.array([labels.sum(), (pairs[0] & ~pairs[1]).sum(), (pairs[1] & ~labels[1:] & mask[1:]).sum(), (pairs[0] & pairs[1]).sum()], float)
-    for _ in range(ROUNDS):
+class _Block:
+    """Some sequences as columns of a matrix, one row a word; the longest come first."""
+
+    def __init__(self, sequences: list[tuple[list[list[int]], bool]], strong: set[int]):
+        self.lengths = np.array([len(s) for s, _ in sequences], np.int64)
+        self.shape = int(self.lengths.max(initial=0)), len(sequences)
+        self.labels = np.zeros(self.shape, bool)
+        where, what = [], []
+        for column, (words, toxic) in enumerate(sequences):
+            for t, known in enumerate(words):
+                if known:
+                    where += [t * self.shape[1] + column] * len(known)
+                    what += known
+                    self.labels[t, column] = toxic and not strong.isdisjoint(known)
+        self.where, self.what = np.array(where, np.int64), np.array(what, np.int64)
+        self.mask = np.arange(self.shape[0])[:, None] < self.lengths[None, :]
+        self.active = [int(np.searchsorted(-self.lengths, -t, "left")) for t in range(self.shape[0])]  # sequences longer than t words
+
+    def observed(self, n: int) -> np.ndarray:
+        """How often each feature has the toxic label, the labels, and the transitions."""
+        labels, inside = self.labels, self.mask[1:]
+        after, before = labels[1:] & inside, labels[:-1]
+        seen = [labels.sum(), (after & ~before).sum(), (before & ~labels[1:] & inside).sum(), (after & before).sum()]
+        return np.concatenate((np.bincount(self.what, labels.ravel()[self.where], n), seen))
+
+    def expected(self, moves: np.ndarray) -> np.ndarray:
+        """The same under the field, by forward and backward odds."""
+        steps, width = self.shape
         bias, into, out_of, stay = moves[-4:]
-        unary = np.bincount(where, moves[:-4][what], steps * width).reshape(steps, width) + bias
+        unary = np.bincount(self.where, moves[:-4][self.what], steps * width).reshape(steps, width) + bias
         u = np.exp(np.clip(unary, -30, 30))
         ei, eo, es = np.exp(np.clip([into, out_of, stay], -30, 30))
         r, q = np.empty_like(u), np.ones_like(u)
         r[0] = u[0]
         for t in range(1, steps):
-            m = active[t]
+            m = self.active[t]
             r[t, :m] = u[t, :m] * (ei + es * r[t - 1, :m]) / (1 + eo * r[t - 1, :m])
+            r[t, m:] = 0.0
         for t in range(steps - 2, -1, -1):
-            m = active[t + 1]
+            m = self.active[t + 1]
             uq = u[t + 1, :m] * q[t + 1, :m]
             q[t, :m] = (eo + es * uq) / (1 + ei * uq)
-        p = np.where(mask, r * q / (1 + r * q), 0.0)
+        p = np.where(self.mask, r * q / (1 + r * q), 0.0)
         # Of neighbours, in odds against both being clean.
-        uq, r0 = u[1:] * q[1:], r[:-1]
+        uq, r0, both = u[1:] * q[1:], r[:-1], self.mask[1:]
         a, b, c = ei * uq, eo * r0, es * r0 * uq
         whole = 1 + a + b + c
-        both = mask[1:]
-        expected = np.array([p.sum(), (a / whole)[both].sum(), (b / whole)[both].sum(), (c / whole)[both].sum()])
-        slope = np.concatenate((target - np.bincount(what, p.ravel()[where], len(names)), seen - expected)) - 0.2 * moves
+        shape = [p.sum(), (a / whole)[both].sum(), (b / whole)[both].sum(), (c / whole)[both].sum()]
+        return np.concatenate((np.bincount(self.what, p.ravel()[self.where], len(moves) - 4), shape))
+
+
+def fit_field(texts: list[str], toxic: np.ndarray) -> Field:
+    """The conditional random field of training documents by full-batch gradients with per-weight steps."""
+    numbers: dict[str, int] = {}
+    whole = [np.array([numbers.setdefault(w, len(numbers)) for w in _WORDS(lowered(t))], np.int32) for t in texts]
+    names_of = list(numbers)
+    odds = known_features([{names_of[k] for k in np.unique(w).tolist()} for w in whole], toxic)
+    names = sorted(odds)
+    number = {f: i for i, f in enumerate(names)}
+    strong = {number[f] for f, x in odds.items() if x > 2.5}
+    known = [[number[f] for f in features(w) if f in number] for w in names_of]
+    cut = [(w[at : at + SEQUENCE], bool(t)) for w, t in zip(whole, toxic, strict=True) for at in range(0, len(w), SEQUENCE)]
+    if not names or not cut:
+        return Field()
+    cut.sort(key=lambda x: -len(x[0]))
+    blocks = [_Block([([known[i] for i in w.tolist()], t) for w, t in cut[at : at + _COLUMNS]], strong) for at in range(0, len(cut), _COLUMNS)]
+    weight = np.array([0.5 * min(4.0, odds[f]) for f in names])
+    shape = np.array([-4.0, 0.0, 0.0, 0.0])  # bias, into, out of, stay
+    moves, speed, before = np.concatenate((weight, shape)), np.full(len(names) + 4, 0.1), np.zeros(len(names) + 4)
+    target = sum(b.observed(len(names)) for b in blocks)
+    for _ in range(ROUNDS):
+        slope = target - sum(b.expected(moves) for b in blocks) - 0.2 * moves
         turn = np.sign(slope) * np.sign(before)
         speed = np.clip(speed * np.where(turn > 0, 1.3, np.where(turn < 0, 0.5, 1.0)), 1e-4, 1.0)
         moves = moves + np.sign(slope) * speed
@@ -271,13 +319,17 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 6) -> Model:
     clean, toxic = counts.get(0, 0), counts.get(1, 0)
     prior = toxic / (clean + toxic) if clean + toxic else 0.0
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    known = known.withColumn("place", place)
     chosen = None
     for label, n, most in ((1, toxic, MAX_TOXIC), (0, clean, MAX_CLEAN)):
-        part = known.where((F.col("toxic") == label) & (place < 0.95 * most / max(n, 1))).limit(most)
+        # The hash alone leaves about as many as wanted, so the sort sees few rows.
+        part = known.where(F.col("toxic") == label).withColumn("turn", F.col("place") * (n / most)).where("turn < 1.2").orderBy("turn", "doc_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most MAX_TOXIC + MAX_CLEAN ids are broadcast, and as many texts of at most MAX_CHARS characters come back.
-    texts = docs.where(F.length("text") <= MAX_CHARS).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.limit(2 * (MAX_TOXIC + MAX_CLEAN)).collect())
+    # At most MAX_TOXIC + MAX_CLEAN ids are broadcast, and as many texts, or twice as many if ids repeat, are put in order.
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = texts.orderBy("turn", "doc_id", "text").limit(2 * (MAX_TOXIC + MAX_CLEAN))
+    so_far = F.sum(F.length("text")).over(Window.orderBy("turn", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0))
+    found = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.withColumn("so_far", so_far).where(F.col("so_far") <= MAX_CHARS).collect())
     return fit([(t, y) for _, t, y in found], prior)
 
 

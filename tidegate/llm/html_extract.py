@@ -7,8 +7,14 @@ else interrupts. The minimum cut, found by maximum flow, labels all blocks of a
 A block whose terminal outweighs all its edges is settled first (its label is the same in every minimum cut), which
 leaves small graphs for the flow.
 
-Defined results: null or empty html gives the empty text; truncated or broken markup is read as far as it goes; a page
-without content blocks gives the empty text; repeated rows each give their row; extra columns are ignored.
+The costs are set by hand, as no table marks blocks. What HTML itself says weighs most (nav, footer, aside, form, ...).
+Names of classes and ids only hint: a name counts by its words and their place (``with-sidebar`` is a layout,
+``entry-header`` a title, ``article-social-text`` a text, ``post-tags`` a list of tags), and a hinted element that holds
+most of the page's prose is no boilerplate (for reader comments, menus and adverts only if an article, main or first
+heading is inside). So a hint can be outweighed by a block's own words and by its neighbours, a tag hardly.
+
+Defined results: null or empty html gives the empty text; truncated or broken markup is read as far as it goes, at any
+depth; a page without content blocks gives the empty text; repeated rows each give their row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,23 +43,54 @@ _CLOSES_P = frozenset("address article aside blockquote center details dialog di
 _ASIDE = frozenset("nav footer aside form menu dialog button fieldset".split())
 _MAIN = frozenset("article main".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_ASIDE_WORD = re.compile(
-    r"(?:^|[-_\s])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|ads?|advert|adverts|advertisement|advertising|adsense|banner|promo|promotion|sponsor|sponsored"
-    r"|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|signin|share|sharing|social|related|recommended|recommendations|trending|popular"
-    r"|comments?|commentlist|reply|replies|respond|disqus|discussion|widget|pagination|pager|copyright|legal|disclaimer|toolbar|search|form|skip|tags?|contentinfo|complementary|byline-links)(?=$|[-_\s\d])",
-    re.I,
+#: Words of class names and ids that speak for boilerplate; the strong ones do so even where most prose is inside.
+_STRONG = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs footer ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr"
+    " comment comments commentlist reply replies respond disqus discussion copyright pagination pager login signin signup contentinfo complementary".split()
 )
-_MAIN_WORD = re.compile(r"(?:^|[-_\s])(?:article|articlebody|post|entry|content|main|story|body|text|hentry)(?=$|[-_\s\d])", re.I)
-
-
-@dataclass(slots=True)
+_WEAK = frozenset(
+    "header masthead sidebar side aside banner promo promotion notice notices alert popup modal overlay newsletter subscribe subscription share sharing social related recommended"
+    " recommendations trending popular widget legal disclaimer toolbar search form skip tag tags".split()
+)
+_MAIN_WORDS = frozenset("article articlebody post entry content main story body text hentry prose".split())
+#: A name that begins so tells how something is laid out or that it is there, not what the element is.
+_ABOUT = frozenset("with has have no without not is layout js single".split())
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\w")
+
+
+def hints(value: str) -> tuple[float, bool, float]:
+    """Of a class or id value: weight for boilerplate, whether a strong word says so, weight for content."""
+    aside, strong, main = 0.0, False, 0.0
+    for name in value.split():
+        words = [w.lower() for w in _NAME.findall(name)]
+        if not words or words[0] in _ABOUT:
+            continue
+        own, last = [w for w in words if w in _STRONG or w in _WEAK], words[-1]
+        kind = any(w in _MAIN_WORDS for w in words)
+        title = last in ("header", "masthead", "banner") and (kind or words[0] in ("page", "section", "title"))
+        if own and not title and (not kind or last in own):
+            aside = max(aside, 1.0)
+            strong = strong or any(w in _STRONG for w in own)
+        elif kind and not own:
+            main = max(main, 1.0)
+    return aside, strong, main
+
+
+@dataclass(slots=True, eq=False)
 class Element:
     name: str
     up: Element | None
     depth: int
     aside: int = 0
-    main: int = 0
+    main: float = 0.0
     hidden: bool = False
+    #: The nearest element with a hint, this one included, and of such an element: weight, kind and what is inside.
+    hinted: Element | None = None
+    hint: float = 0.0
+    strong: bool = False
+    prose: int = 0
+    lead: bool = False
+    cost: float = 0.0
 
 
 @dataclass(slots=True)
@@ -65,24 +102,50 @@ class Block:
 
 
 def _element(name: str, attributes: str, up: Element | None) -> Element:
-    out = Element(name, up, up.depth + 1 if up else 0, up.aside if up else 0, up.main if up else 0, up.hidden if up else False)
-    if name in _ASIDE or (name == "header" and not out.main):
+    out = Element(name, up, up.depth + 1 if up else 0)
+    if up:
+        out.aside, out.main, out.hidden, out.hinted = up.aside, up.main, up.hidden, up.hinted
+    if name in _ASIDE or (name == "header" and out.main < 4):
         out.aside += 1
-    if name in _MAIN:
-        out.main += 1
+    weight, strong, main = 0.0, False, 0.0
     if attributes and name not in ("html", "body"):
         for kind, *values in _ATTRIBUTE.findall(attributes):
             kind, value = kind.lower(), "".join(values)
             if kind == "hidden" or (kind == "style" and re.search(r"display\s*:\s*none", value)):
                 out.hidden = True
             elif kind != "style" and value:
-                if name not in _MAIN and _ASIDE_WORD.search(value):
-                    out.aside += 1
-                elif _MAIN_WORD.search(value) and not out.aside:
-                    out.main += 1
+                w, s, m = hints(value)
+                weight, strong, main = max(weight, w), strong or s, max(main, m)
+    if weight and not (name in _MAIN and not strong):
+        out.hinted, out.hint, out.strong = out, weight, strong
+    elif name in _MAIN:
+        out.main = 4.0
+    elif main:
+        out.main = max(out.main, 1.5)
     return out
 
 
+def weigh(found: list[Block], hinted: list[tuple[Element, Element | None]]) -> None:
+    """Cost of each hinted element, those around it included: none where it holds most of the page's prose."""
+    total, first = 0, True
+    for block in found:
+        words = block.text.count(" ") + 1
+        prose = len(block.text) - block.linked if words >= 8 and not block.holder.aside and not block.holder.hidden else 0
+        total += prose
+        lead = block.holder.main >= 4 or (first and block.tag == "h1")
+        first = first and block.tag != "h1"
+        if block.holder.hinted:
+            block.holder.hinted.prose += prose
+            block.holder.hinted.lead |= lead
+    for element, around in reversed(hinted):  # inner ones first
+        if around:
+            around.lead |= element.lead
+            around.prose += element.prose
+    for element, around in hinted:
+        most = 2 * element.prose > total and (element.lead or not element.strong)
+        element.cost = (around.cost if around else 0.0) + (0.0 if most else (8.0 if element.strong else 5.0) * element.hint)
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order; character references are decoded and white space is one blank."""
     root = here = Element("", None, 0)
@@ -90,6 +153,8 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     in_link, linked, at, n = False, 0, 0, len(page)
     holder, tag = root, ""
+    hinted: list[tuple[Element, Element | None]] = []
+    opened: dict[str, int] = {}
 
     def flush() -> None:
         nonlocal linked, parts
@@ -131,22 +196,25 @@ def blocks(page: str) -> list[Block]:
         flush()
         in_link = False
         if closing:
-            e = here
-            while e is not root and e.name != name:
-                e = e.up
-            if e is not root:
-                here = e.up
+            if opened.get(name):
+                while True:
+                    last, here = here, here.up
+                    opened[last.name] -= 1
+                    if last.name == name:
+                        break
             continue
-        if name in _CLOSES_P and here.name == "p":
-            here = here.up
-        if name == here.name and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
+        if (name in _CLOSES_P and here.name == "p") or (name == here.name and name in ("li", "dt", "dd", "tr", "td", "th", "option")):
+            opened[here.name] -= 1
             here = here.up
         if name in _VOID or attributes.endswith("/"):
             continue
+        around = here.hinted
         here = _element(name, attributes, here)
-        if here.depth > 5000:
-            here = here.up
+        opened[name] = opened.get(name, 0) + 1
+        if here.hinted is here:
+            hinted.append((here, around))
     flush()
+    weigh(out, hinted)
     return out
 
 
@@ -154,18 +222,19 @@ def preference(block: Block) -> float:
     """Classifier's log-odds for content: cost of the other label if positive, of content if negative."""
     words = block.text.count(" ") + 1
     holder, density = block.holder, block.linked / len(block.text)
-    z = -0.5 + min(words, 40) / 12
+    z = -1.0 + min(words, 40) / 12
     z += 0.8 * (block.text[-1] in ".!?…:\"'”’»。") - 3.5 * density
-    z += 1.2 * (block.tag in ("p", "pre", "blockquote")) + 1.0 * (block.tag in _HEADINGS) - 0.8 * (block.tag == "li")
-    z += 4.0 * (holder.main > 0) - 9.0 * (holder.aside > 0) - 12.0 * holder.hidden
+    z += 0.9 * (block.tag in ("p", "pre", "blockquote")) + (1.0 + (block.tag == "h1")) * (block.tag in _HEADINGS) - 0.8 * (block.tag == "li")
+    z += holder.main - 9.0 * (holder.aside > 0) - 12.0 * holder.hidden - (min(holder.hinted.cost, 9.0) if holder.hinted else 0.0)
     if re.match(r"(?:©|\(c\)|copyright\b|all rights reserved)", block.text, re.I):
         z -= 6.0
     return z
 
 
 def _distance(a: Element, b: Element) -> int:
+    """Steps in the tree between two elements, 8 at most."""
     steps = 0
-    while a is not b:
+    while a is not b and steps < 8:
         if a.depth >= b.depth and a.up is not None:
             a = a.up
         else:
@@ -174,6 +243,11 @@ def _distance(a: Element, b: Element) -> int:
     return steps
 
 
+def _zone(block: Block) -> tuple[bool, bool]:
+    holder = block.holder
+    return holder.aside > 0, bool(holder.hinted and holder.hinted.cost)
+
+
 def edges(found: list[Block]) -> list[tuple[int, int, float]]:
     """Smoothness between blocks: adjacency by distance in the tree, and parents that go on after an interruption."""
     out, last = [], {}
@@ -181,10 +255,9 @@ def edges(found: list[Block]) -> list[tuple[int, int, float]]:
         parent = id(block.holder.up or block.holder)
         if k:
             before = found[k - 1]
-            same = (before.holder.aside > 0) == (block.holder.aside > 0) and (before.holder.main > 0) == (block.holder.main > 0)
-            out.append((k - 1, k, (2.0 if same else 0.4) / (1 + min(8, _distance(before.holder, block.holder)) / 2)))
+            out.append((k - 1, k, (3.0 if _zone(before) == _zone(block) else 0.4) / (1 + _distance(before.holder, block.holder) / 2)))
         if parent in last and last[parent] < k - 1:
-            out.append((last[parent], k, 0.8))
+            out.append((last[parent], k, 1.2 if _zone(found[last[parent]]) == _zone(block) else 0.2))
         last[parent] = k
     return out
 

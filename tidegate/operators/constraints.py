@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.tsql import holds, quoted
@@ -38,19 +38,22 @@ class Constraints:
         """Switch one off, or on again (``validate`` then says whether what was loaded meanwhile holds)."""
         (self.off.discard if on else self.off.add)(name)
 
-    def broken(self, rows: DataFrame, entity: Entity) -> dict[str, int]:
-        """Rows that break each constraint of one row that is on (not null, checks), in one aggregate, and repeated keys."""
+    def tallies(self, entity: Entity) -> dict[str, Column]:
+        """Aggregates by name: rows that break each constraint that is on (not null, checks, repeated keys)."""
         bad = {f"NN_{c}": F.col(quoted(c)).isNull() for c in entity.columns if c not in entity.nullable}
         bad |= {n: holds(F.expr(p)) for n, p in ROW_CHECKS[entity.name].items()}
-        bad = {n: p for n, p in bad.items() if n not in self.off}
-        found = rows.agg(*[F.coalesce(F.sum(p.cast("long")), F.lit(0)).alias(n) for n, p in bad.items()]).first().asDict() if bad else {}
-        if f"PK_{entity.name}" not in self.off:
-            found[f"PK_{entity.name}"] = checks.duplicate_groups(rows, entity.key).count()
-        return {n: k for n, k in found.items() if k}
+        out = {n: F.coalesce(F.sum(p.cast("long")), F.lit(0)) for n, p in bad.items()}
+        out[f"PK_{entity.name}"] = F.count(entity.key) - F.countDistinct(entity.key)
+        return {n: c.alias(n) for n, c in out.items() if n not in self.off}
 
-    def validate(self, rows: DataFrame, entity: Entity, parents: DataFrame | None = None) -> None:
-        found = self.broken(rows, entity)
+    def require(self, found: dict[str, int], rows: DataFrame, entity: Entity, parents: DataFrame | None = None) -> None:
+        """Raise if any count in ``found`` (by constraint) is not 0, or a line has no header among ``parents``."""
+        broken = {n: k for n, k in found.items() if k}
         if parents is not None and "FK_Header" not in self.off and (n := checks.orphans(rows, parents).count()):
-            found["FK_Header"] = n
-        if found:
-            raise Violation(f"{entity.name}: " + ", ".join(f"{n} ({k} rows)" for n, k in sorted(found.items())))
+            broken["FK_Header"] = n
+        if broken:
+            raise Violation(f"{entity.name}: " + ", ".join(f"{n} ({k} rows)" for n, k in sorted(broken.items())))
+
+    def validate(self, rows: DataFrame, entity: Entity, parents: DataFrame | None = None) -> None:
+        asked = self.tallies(entity)
+        self.require(rows.agg(*asked.values()).first().asDict() if asked else {}, rows, entity, parents)

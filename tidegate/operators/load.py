@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.sources.entities import DETAIL, Entity
@@ -31,9 +31,14 @@ def with_parent(lines: DataFrame, headers: DataFrame) -> DataFrame:
     return lines.join(headers.select("SalesOrderID"), "SalesOrderID", "left_semi")
 
 
-def counts(upserted: DataFrame) -> DataFrame:
+def tallies() -> list[Column]:
+    """Aggregates over upserted rows: how many were inserted, updated, stale, and loaded."""
     n = lambda *a: F.coalesce(F.sum(F.col("_action").isin(*a).cast("long")), F.lit(0))
-    return upserted.agg(n("INSERT").alias("rows_inserted"), n("UPDATE").alias("rows_updated"), n("STALE").alias("rows_stale"), n("INSERT", "UPDATE").alias("rows_loaded"))
+    return [n("INSERT").alias("rows_inserted"), n("UPDATE").alias("rows_updated"), n("STALE").alias("rows_stale"), n("INSERT", "UPDATE").alias("rows_loaded")]
+
+
+def counts(upserted: DataFrame) -> DataFrame:
+    return upserted.agg(*tallies())
 
 
-__all__ = ["DETAIL", "counts", "upsert", "with_parent"]
+__all__ = ["DETAIL", "counts", "tallies", "upsert", "with_parent"]

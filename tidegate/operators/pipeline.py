@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -153,11 +154,10 @@ class Pipeline:
                 staged = entity.extract(self.source(entity.name), start, stop).withColumn("etl_run_id", F.lit(outcome.run_id).cast("long")).persist()
                 batch = rules.evaluate(staged, entity, now, self.rules).persist()
                 held += [staged, batch]
-                of = {r.number: r for r in rules.rules_of(entity, self.rules)}
-                for r in rules.results(batch, entity, self.rules).collect():  # one row a rule
-                    rule = of[r["rule_id"]]
-                    n = r["bad_rows"]
-                    log.append((outcome.run_id, rule.name, rule.kind, entity.name, rule.column, "0", str(n), float(n), r["status"], rule.severity, rules.message(rule, n)))
+                counts = batch.agg(F.count("*").alias("n"), F.count("first_rule").alias("bad"), *rules.tallies(entity, self.rules)).first()
+                for rule in rules.rules_of(entity, self.rules):
+                    n = counts[f"n_{rule.number}"]
+                    log.append((outcome.run_id, rule.name, rule.kind, entity.name, rule.column, "0", str(n), float(n), "FAIL" if n else "PASS", rule.severity, rules.message(rule, n)))
                 bad = rules.rejected_in_detail(batch, entity, [*entity.columns, "etl_run_id"], self.rules).withColumn("run_id", F.lit(outcome.run_id).cast("long"))
                 rejected = bad if rejected is None else rejected.unionByName(bad)
                 good = entity.latest_rows(rules.survivors(batch))
@@ -170,15 +170,15 @@ class Pipeline:
                 incoming = good.withColumn("etl_inserted_at", stamp(now)).withColumn("etl_updated_at", stamp(now)).select(old.columns)
                 done = load.upsert(old, incoming, entity, ("etl_inserted_at",)).persist()
                 held.append(done)
-                n = load.counts(done).first()
-                counts = batch.agg(F.count("*").alias("n"), F.count("first_rule").alias("bad")).first()
+                asked = self.constraints.tallies(entity)
+                n = done.agg(*load.tallies(), *asked.values()).first()
                 outcome.source[entity.name] = source_rows
                 outcome.extracted[entity.name], outcome.rejected[entity.name], outcome.loaded[entity.name] = counts["n"], counts["bad"], n["rows_loaded"]
                 entity_rows.append((outcome.run_id, entity.name, source_rows, counts["n"], n["rows_loaded"], counts["bad"]))
                 rest = [b for b in range(self.buckets) if b not in touched]
                 if entity is HEADER:
                     parents = done.select(entity.key).union(self.warehouse(entity, rest).select(entity.key))
-                self.constraints.validate(done.drop("_action"), entity, parents if entity is DETAIL else None)
+                self.constraints.require({c: n[c] for c in asked}, done, entity, parents if entity is DETAIL else None)
                 tables[entity.name] = done.drop("_action").select(old.columns).withColumn(BUCKET, bucket_of(entity.key, self.buckets))
             log_rows = self.spark.createDataFrame(entity_rows, SCHEMAS["run_entity"])
             self.store.commit({}, number, {"rejected_row": rejected.select(SCHEMAS["rejected_row"].names), "run_entity": log_rows}, tables)
@@ -198,21 +198,28 @@ class Pipeline:
             add("RECON_StagingToWarehouse", "RowCountReconciliation", name, extracted, loaded + bad, loaded + bad - extracted, loaded + bad == extracted)
         headers, lines = self.warehouse(HEADER), self.warehouse(DETAIL)
         tolerance = str(setting(self.config, "financial.tolerance_amount"))
-        for name, kind, found, severity in (
-            ("ORPHAN_DetailWithoutHeader", "ReferentialCheck", checks.orphans(lines, headers), "Critical"),
-            ("ORPHAN_HeaderWithoutDetail", "ReferentialCheck", checks.without_lines(headers, lines), "Warning"),
-            ("RECON_HeaderSubTotalVsLines", "FinancialReconciliation", checks.subtotal_mismatches(headers, lines, tolerance), "Critical"),
-            ("DUP_WarehouseOrderID", "DuplicateCheck", checks.duplicate_groups(headers, "SalesOrderID"), "Critical"),
-            ("TYPE_WarehouseDetailDomains", "TypeCheck", checks.outside_domain(lines), "Critical"),
-        ):
-            n = found.count()
+        after = {
+            "ORPHAN_DetailWithoutHeader": ("ReferentialCheck", checks.orphans(lines, headers), "Critical"),
+            "ORPHAN_HeaderWithoutDetail": ("ReferentialCheck", checks.without_lines(headers, lines), "Warning"),
+            "RECON_HeaderSubTotalVsLines": ("FinancialReconciliation", checks.subtotal_mismatches(headers, lines, tolerance), "Critical"),
+            "DUP_WarehouseOrderID": ("DuplicateCheck", checks.duplicate_groups(headers, "SalesOrderID"), "Critical"),
+            "TYPE_WarehouseDetailDomains": ("TypeCheck", checks.outside_domain(lines), "Critical"),
+        }
+        pairs = ((HEADER, headers), (DETAIL, lines))
+        # All counts and high waters in one job: scans and shuffles that are the same are made once.
+        none = F.lit(None).cast("timestamp_ntz")
+        asked = [found.agg(F.count("*").alias("n"), none.alias("l")).select(F.lit(name).alias("name"), "n", "l") for name, (_, found, _) in after.items()]
+        for side, rows in (("dw", dict((e.name, r) for e, r in pairs)), ("source", {e.name: self.source(e.name) for e, _ in pairs})):
+            asked += [rows[e.name].agg(F.lit(0).cast("long").alias("n"), F.max(e.watermark).alias("l")).select(F.lit(f"{side} {e.name}").alias("name"), "n", "l") for e, _ in pairs]
+        got = {r["name"]: r for r in reduce(DataFrame.unionByName, asked).collect()}
+        for name, (kind, _, severity) in after.items():
+            n = got[name]["n"]
             add(name, kind, "warehouse", 0, n, n, n == 0, severity)
         most = setting(self.config, "freshness.max_lag_hours")
-        for entity, dw in ((HEADER, headers), (DETAIL, lines)):
-            source = self.source(entity.name).agg(F.max(entity.watermark).alias("m"))
-            both = dw.agg(F.max(entity.watermark).alias("l")).crossJoin(source).select(checks.lag_hours(F.col("l"), F.col("m")).alias("lag"), "m", "l").first()
-            if both["m"] is not None:
-                lag = None if both["l"] is None else both["lag"]
+        for entity, _ in pairs:
+            loaded, there = got[f"dw {entity.name}"]["l"], got[f"source {entity.name}"]["l"]
+            if there is not None:
+                lag = None if loaded is None else max(0.0, (there.replace(second=0, microsecond=0) - loaded.replace(second=0, microsecond=0)).total_seconds() / 3600)
                 add("FRESH_PipelineLag", "FreshnessCheck", entity.name, most, lag, lag, "WARN" if lag is None else "PASS" if lag <= most else "FAIL", "Warning")
 
     def _run_row(self, outcome: Outcome, now: str, state: int, passed: int = 0) -> tuple:

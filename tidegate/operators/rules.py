@@ -146,10 +146,15 @@ def evaluate(rows: DataFrame, entity: Entity, as_of: str, rules: tuple[Rule, ...
     return settle(out)
 
 
+def tallies(entity: Entity, rules: tuple[Rule, ...] = RULES) -> list[Column]:
+    """Aggregates over an evaluated batch: the bad rows of each rule."""
+    return [F.coalesce(F.sum(F.col(f"bad_{r.number}").cast("long")), F.lit(0)).alias(f"n_{r.number}") for r in rules_of(entity, rules)]
+
+
 def results(evaluated: DataFrame, entity: Entity, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """A check row for each rule: one aggregate over the batch, turned into rows."""
     mine = rules_of(entity, rules)
-    counts = evaluated.agg(*[F.coalesce(F.sum(F.col(f"bad_{r.number}").cast("long")), F.lit(0)).alias(f"n_{r.number}") for r in mine])
+    counts = evaluated.agg(*tallies(entity, rules))
     rows = F.array(*[F.struct(F.lit(r.number).alias("rule_id"), F.lit(entity.name).alias("entity_name"), F.lit(r.name).alias("check_name"), F.lit(r.kind).alias("check_type"), F.lit(r.severity).alias("severity"), F.col(f"n_{r.number}").alias("bad_rows")) for r in mine])
     flat = counts.select(F.explode(rows).alias("r")).select("r.*")
     return flat.withColumn("status", F.when(F.col("bad_rows") > 0, "FAIL").otherwise("PASS"))

@@ -34,7 +34,10 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
-        return configured.rstrip("/")
+        # A path without a scheme is on the cluster's default file system for every reader, Arrow included.
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(configured.rstrip("/"))
+        whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        return re.sub(r"^file:/(?!/)", "file:///", whole)
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
     made = getattr(spark.sparkContext, "_tidegate_scratch", None)
@@ -54,10 +57,17 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def forget_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is there when the application ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the shared folder and read the table back."""
+    """Cut lineage: write to the shared folder and read the table back. It is deleted when the application ends."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    forget_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,7 +79,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """(node, component) of every node on an edge, component being the smallest node reachable.
 
     Alternating large-star and small-star steps over ``edges(a, b)``: every step is an aggregate (with map-side

@@ -13,19 +13,7 @@ the radius. What leaves a task is one edge per fingerprint to the least of its t
 A key with more than ``LIMIT`` fingerprints is refined exactly: what is equal is fixed, the bits left are cut into
 blocks again, and so on; for a radius of 2, at most 256 distinct fingerprints can share a key after three steps. So no
 task ever holds an unbounded group, whatever the copies. (A greater radius has more tables and is refined once.)
-
-Documents of likeness 0.8 differ in too many of 64 bits for blocks of a useful length. For them (``wide_apart``) three
-further fingerprints of remixed hashes go along. The blocks of each of the ``KEYED`` choose the keys, the index
-searches to ``WIDE_REACH`` bits of that one, and a pair links if at most ``wide_apart`` of all 256 bits differ.
-Pairs within the radius all meet; of pairs that differ in more bits of each, those with two equal blocks in one. Here a
-key of more than about ``WIDE_LIMIT`` fingerprints is cut into blocks, any two of which are compared in a task.
-What leaves a task is then a spanning forest of its links, those with the fewest differing bits first. ``alike``
-compares the word runs of each of its pairs themselves and keeps the pairs at or above a likeness, so the bits may be
-chosen wide. A pair left out of the forests may be the only one alike between two parts, so the search is repeated over
-the documents that still have such pairs, parts confirmed being one: it hands on each document's ``MORE`` closest pairs
-between parts, then ``MORE`` times as many, until no task leaves a pair out. Then no untested pair joins two parts.
-Only documents of the same words in the same order (by a digest of 128 bits) are one class without such a test: a run
-of words that makes over half of a text settles all its bits, so equal bits alone say little.
+The index takes code words of any length: the pipeline's near-duplicate stage uses it over 256 bits.
 
 Defined results: a null text is the empty text; without words the fingerprint is zero and linked like any other;
 repeated rows each give their row; a null doc_id links with nothing and has a null component_id; an empty table gives
@@ -34,8 +22,7 @@ no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -48,15 +35,7 @@ from tidegate.llm.common import connected_components, documents, settle, ship, s
 RADIUS = 2
 LIMIT = 4096
 FANOUT = 8
-#: The further fingerprints' columns, and how many bits of the first may differ where these decide.
-WIDE = ("wide1", "wide2", "wide3")
-WIDE_REACH = 16
-WIDE_LIMIT = 2048
-KEYED = 4
-MORE = 16
 _PIECE = 1 << 15
-#: Above the number of tables of keys, a power of two.
-_TABLES = 128
 
 
 def _remixed(h: np.ndarray, count: int) -> np.ndarray:
@@ -71,7 +50,7 @@ def _remixed(h: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
-def _hashes(text: str, words_in_run: int) -> tuple[int, Iterator[int]]:
+def word_hashes(text: str, words_in_run: int) -> tuple[int, Iterator[int]]:
     """How many word runs the text has, and their hashes."""
     import xxhash
 
@@ -85,40 +64,13 @@ def _hashes(text: str, words_in_run: int) -> tuple[int, Iterator[int]]:
     return n, map(xxhash.xxh64_intdigest, runs, repeat(42))
 
 
-def words_digest(text: str) -> bytes:
-    """16 bytes that tell apart texts whose words, as the runs have them, differ."""
-    return hashlib.blake2b(b" ".join(text.encode("utf-8").lower().split()), digest_size=16).digest()
-
-
-def runs_of(text: str, words_in_run: int) -> np.ndarray:
-    """The different hashes of the word runs, in order."""
-    n, hashes = _hashes(text, words_in_run)
-    return np.unique(np.fromiter(hashes, np.uint64, n))
-
-
-def _share(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
-    """Likeness of two texts' ``runs_of``; 0 if their numbers alone tell that it is under ``least``."""
-    if not len(a) and not len(b):
-        return 1.0
-    if min(len(a), len(b)) / max(len(a), len(b)) < least:
-        return 0.0
-    both = np.sort(np.concatenate([a, b]), kind="stable")
-    common = int((both[1:] == both[:-1]).sum())
-    return common / (len(both) - common)
-
-
-def likeness(one: str, other: str, words_in_run: int) -> float:
-    """Share of the different word runs of either text that both have; 1 for two texts without words."""
-    return _share(runs_of(one, words_in_run), runs_of(other, words_in_run))
-
-
 def fingerprint(text: str, words_in_run: int = 3) -> int:
     return int(sketch(text, words_in_run, 1)[0])
 
 
 def sketch(text: str, words_in_run: int, count: int) -> np.ndarray:
     """The fingerprint and ``count`` - 1 further ones."""
-    n, hashes = _hashes(text, words_in_run)
+    n, hashes = word_hashes(text, words_in_run)
     votes = np.zeros(64 * count, np.int64)
     for at in range(0, n, _PIECE):
         h = np.fromiter(hashes, np.uint64, min(_PIECE, n - at))
@@ -127,23 +79,16 @@ def sketch(text: str, words_in_run: int, count: int) -> np.ndarray:
     return np.packbits(votes * 2 > n, bitorder="little").view("<u8")
 
 
-def fingerprints(docs: DataFrame, words_in_run: int = 3, wide: bool = False) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed 64-bit integer) of each row, with the further ones and digest if ``wide``."""
+def fingerprints(docs: DataFrame, words_in_run: int = 3) -> DataFrame:
+    """doc_id and fp (the fingerprint as a signed 64-bit integer) of each row."""
     ship(docs.sparkSession)
-    names = ("fp", *WIDE) if wide else ("fp",)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = [sketch(t, words_in_run, len(names)) for t in texts]
-            columns = np.array(found, np.uint64).reshape(-1, len(names)).T.copy().view(np.int64)
-            out = {"doc_id": batch.column(0)} | {c: pa.array(x, pa.int64()) for c, x in zip(names, columns, strict=True)}
-            if wide:
-                out["digest"] = pa.array(map(words_digest, texts), pa.binary())
-            yield pa.RecordBatch.from_pydict(out)
+            found = np.array([fingerprint(t or "", words_in_run) for t in batch.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(found.view(np.int64), pa.int64())})
 
-    schema = ", ".join(f"{c} long" for c in ("doc_id", *names)) + ", digest binary" * wide
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -175,51 +120,63 @@ def _signed(bits: list[int]) -> int:
 
 
 class GrayIndex:
-    """The hierarchical index over groups of fingerprints, each group sorted by Gray rank; one root per group."""
+    """The hierarchical index over groups of code words, each group sorted by Gray rank; one root per group.
 
-    def __init__(self, fp: np.ndarray, starts: np.ndarray):
-        self.fp, n = fp, len(fp)
+    ``words``: a row for each 64 bits of the code, a column for each code word.
+    """
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray):
+        self.words, n = words, words.shape[1]
         sizes = np.diff(np.append(starts, n))
-        all_of = none_of = fp
-        #: Bottom up: pattern, shared mask and children (first, one past the last) of each node.
+        all_of = none_of = words
+        #: Bottom up: pattern, shared mask, children (first, one past the last) and one past the last leaf of each node.
         self.levels = []
-        place, count = np.arange(n) - np.repeat(starts, sizes), sizes
+        place, count, upto = np.arange(n) - np.repeat(starts, sizes), sizes, np.arange(1, n + 1)
         while count.max(initial=1) > 1 or not self.levels:
             opens = np.flatnonzero(place % FANOUT == 0)
-            all_of = np.bitwise_and.reduceat(all_of, opens)
-            none_of = np.bitwise_or.reduceat(none_of, opens)
-            self.levels.append((all_of, ~(all_of ^ none_of), opens, np.append(opens[1:], len(place))))
+            closes = np.append(opens[1:], len(place))
+            all_of = np.bitwise_and.reduceat(all_of, opens, axis=1)
+            none_of = np.bitwise_or.reduceat(none_of, opens, axis=1)
+            upto = upto[closes - 1]
+            self.levels.append((all_of, ~(all_of ^ none_of), opens, closes, upto))
             place = place[opens] // FANOUT
             count = -(-count // FANOUT)
 
-    def pairs(self, queries: np.ndarray, roots: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, other) positions of all pairs within the radius, each once (other after query)."""
+    def pairs(self, queries: np.ndarray, roots: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, other, bits apart) of all pairs within the radius, each once (other after query)."""
         q, node, apart = queries, roots, np.zeros(len(queries), np.int64)
-        done = np.zeros(len(queries), np.uint64)  # bits that the levels above have settled
-        for depth in range(len(self.levels) - 1, -1, -1):
-            pattern, mask, first, last = self.levels[depth]
-            apart = apart + np.bitwise_count((self.fp[q] ^ pattern[node]) & mask[node] & ~done)
-            keep = apart <= radius
-            q, node, apart, done = q[keep], node[keep], apart[keep], done[keep] | mask[node[keep]]
+        done = np.zeros((len(self.words), len(queries)), np.uint64)  # bits that the levels above have settled
+        for pattern, mask, first, last, upto in reversed(self.levels):
+            own = mask[:, node]
+            apart = apart + np.bitwise_count((self.words[:, q] ^ pattern[:, node]) & own & ~done).sum(0, dtype=np.int64)
+            keep = (apart <= radius) & (upto[node] > q + 1)
+            q, node, apart, done = q[keep], node[keep], apart[keep], (done | own)[:, keep]
             width = last[node] - first[node]
-            upto = np.cumsum(width)
-            child = np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - width, width) + np.repeat(first[node], width)
-            q, apart, done, node = np.repeat(q, width), np.repeat(apart, width), np.repeat(done, width), child
+            ends = np.cumsum(width)
+            child = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - width, width) + np.repeat(first[node], width)
+            if first is not self.levels[0][2]:
+                apart, done = np.repeat(apart, width), np.repeat(done, width, axis=1)
+            q, node = np.repeat(q, width), child
         keep = node > q
-        q, node, apart, done = q[keep], node[keep], apart[keep], done[keep]
-        keep = apart + np.bitwise_count((self.fp[q] ^ self.fp[node]) & ~done) <= radius
-        return q[keep], node[keep]
+        q, node = q[keep], node[keep]
+        apart = np.zeros(len(q), np.int64)
+        for word in self.words:  # of whole code words, word by word
+            apart = apart + np.bitwise_count(word[q] ^ word[node])
+            keep = apart <= radius
+            q, node, apart = q[keep], node[keep], apart[keep]
+        return q, node, apart
 
 
-def _found(fp: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs (positions) within the radius, a few queries at a time, so they fit in memory even where all are alike."""
-    index = GrayIndex(fp, starts)
-    sizes = np.diff(np.append(starts, len(fp)))
+def found_within(words: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs (positions, bits apart) in the radius, a few queries at a time, so they fit in memory even if all are alike."""
+    index = GrayIndex(words, starts)
+    n = words.shape[1]
+    sizes = np.diff(np.append(starts, n))
     roots = np.repeat(np.arange(len(starts)), sizes)
     work = np.cumsum(np.repeat(sizes, sizes))
-    at = 0
-    while at < len(fp):
-        upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + (1 << 20), "right")))
+    at, most = 0, (1 << 20) // len(words)
+    while at < n:
+        upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + most, "right")))
         yield index.pairs(np.arange(at, upto), roots[at:upto], radius)
         at = upto
 
@@ -227,69 +184,11 @@ def _found(fp: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np
 def linked(fp: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
     """For each fingerprint the first position of its component inside its group."""
     labels = np.arange(len(fp))
-    for a, b in _found(fp, starts, radius):
+    for a, b, _ in found_within(fp[None], starts, radius):
         labels = settle(labels, a, b)
     return labels
 
 
-def spanning_forest(n: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
-    """Which of the links between ``n`` positions make a minimum spanning forest; of equal ones the first come first."""
-    order = np.argsort(apart, kind="stable")
-    labels, chosen = np.arange(n), []
-    while len(order):
-        la, lb = labels[a[order]], labels[b[order]]
-        order, la, lb = order[la != lb], la[la != lb], lb[la != lb]
-        least = np.full(n, len(order))
-        rank = np.arange(len(order))
-        np.minimum.at(least, la, rank)
-        np.minimum.at(least, lb, rank)
-        best = order[np.unique(least[least < len(order)])]
-        chosen.append(best)
-        labels = settle(labels, a[best], b[best])
-    return np.concatenate([np.zeros(0, np.int64), *chosen])
-
-
-def closest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.ndarray:
-    """Which of the links are among the ``most`` closest of either end."""
-    n, ends = len(a), np.concatenate([a, b])
-    order = np.lexsort((np.tile(apart, 2), ends))
-    opens = np.flatnonzero(np.diff(ends[order], prepend=-1))
-    rank = np.arange(2 * n) - np.repeat(opens, np.diff(np.append(opens, 2 * n)))
-    return np.unique(order[rank < most] % max(n, 1))
-
-
-def forest(
-    fp: np.ndarray, starts: np.ndarray, prints: np.ndarray, side: np.ndarray, part: np.ndarray, wide_apart: int, most: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the pairs between parts with at most ``wide_apart`` of all bits differing a minimum spanning forest, by
-    differing bits, and the ``most`` closest of each row; and the rows that have pairs left out.
-
-    ``fp``: of the four fingerprints ``prints`` of a row the one that chose its key; ``side``: 0 if a row's group is one
-    block, else 1 or 2 for the two blocks compared; ``part``: what is known to belong together, numbered from 0.
-    """
-    a = b = apart = np.zeros(0, np.int64)
-    left, parts, full = np.zeros(len(fp), bool), int(part.max(initial=-1)) + 1, 1 << 20
-
-    def chosen() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keep = np.union1d(spanning_forest(parts, part[a], part[b], apart), closest(a, b, apart, most)).astype(np.int64)
-        out = np.ones(len(a), bool)
-        out[keep] = False
-        left[a[out]] = left[b[out]] = True
-        return a[keep], b[keep], apart[keep]
-
-    for x, y in _found(fp, starts, WIDE_REACH):
-        met = ((side[x] == 0) | (side[x] != side[y])) & (part[x] != part[y])
-        x, y = x[met], y[met]
-        bits = np.bitwise_count(prints[:, x] ^ prints[:, y]).sum(0, dtype=np.int64)
-        near = bits <= wide_apart
-        a, b, apart = np.append(a, x[near]), np.append(b, y[near]), np.append(apart, bits[near])
-        if len(a) > full:  # what is chosen of a part's choice and the rest is what is chosen of all
-            a, b, apart = chosen()
-            full = max(full, 2 * len(a))
-    a, b, _ = chosen()
-    return a, b, np.flatnonzero(left)
-
-
 def _search(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, 2):
@@ -338,143 +237,13 @@ def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataF
     return union_all(found)
 
 
-def _search_wide(tables: int, wide_apart: int, most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, 1):
-            home, side, rep, part, *prints = (c.to_numpy() for c in rows.columns)
-            opens = np.flatnonzero(np.append(True, home[1:] != home[:-1]))
-            many = np.minimum.reduceat(part, opens) != np.maximum.reduceat(part, opens)
-            many = np.repeat(many, np.diff(np.append(opens, len(home))))
-            if not many.any():
-                continue
-            home, side, rep, part, prints = home[many], side[many], rep[many], part[many], np.array(prints)[:, many].view(np.uint64)
-            fp = prints[(home & _TABLES - 1) // tables, np.arange(len(home))]
-            gray = fp.copy()
-            for shift in (1, 2, 4, 8, 16, 32):
-                gray ^= gray >> np.uint64(shift)
-            order = np.lexsort((gray, home))
-            home, side, rep, prints, fp = home[order], side[order], rep[order], prints[:, order], fp[order]
-            part = np.unique(part[order], return_inverse=True)[1]
-            a, b, left = forest(fp, np.flatnonzero(np.append(True, home[1:] != home[:-1])), prints, side, part, wide_apart, most)
-            left = np.unique(rep[left])
-            ends = pa.array(rep[a], pa.int64()), pa.array(rep[b], pa.int64()), pa.array(home[a], pa.int64())
-            yield pa.RecordBatch.from_pydict(dict(zip(("a", "b", "home"), ends, strict=True)))
-            yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.nulls(len(left), pa.int64()), "home": pa.nulls(len(left), pa.int64())})
-
-    return run
-
-
-def wide_links(classes: DataFrame, radius: int, wide_apart: int, limit: int = WIDE_LIMIT, most: int = 0) -> DataFrame:
-    """Edges (a, b, home) between ``rep`` of ``classes`` (rep, part and all fingerprints): of the pairs that share a key
-    and are of different parts a forest and each one's ``most`` closest. A null b: ``a`` has pairs left out.
-
-    A group's ``home`` is a hash of its key, the number of the key's table in its last bits. Which keys are cut into
-    blocks is told from a sample, as it changes the work of a task but no pair: all rows of a key meet in some task.
-    """
-    spark = classes.sparkSession
-    ship(spark)
-    names = ("fp", *WIDE)
-    carried = ("rep", "part", *names)
-    masks = [_signed(m) for m in _choices(list(range(64)), radius)]
-    assert KEYED * len(masks) <= _TABLES
-    every = max(1, limit // 32)
-
-    def keyed(some: DataFrame) -> DataFrame:
-        spread = some.select(*carried, F.posexplode(F.array(*[F.lit(m).cast("long") for m in masks * KEYED])).alias("path", "mask"))
-        key = F.element_at(F.array(*names), F.floor(F.col("path") / len(masks)).cast("int") + 1).bitwiseAND(F.col("mask"))
-        return spread.select(F.xxhash64(key, "path").bitwiseAND(F.lit(-_TABLES)).bitwiseOR(F.col("path").cast("long")).alias("home"), *carried)
-
-    rows = keyed(classes)
-    sampled = keyed(classes.where(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(every)) == 0)).groupBy("home").count()
-    hot = table(sampled.where(F.col("count") * every > limit).select("home", F.ceil(F.col("count") * every / limit).alias("blocks")), "gray-hot")
-    no_side = F.lit(0).cast("long").alias("side")
-    if hot.isEmpty():
-        dealt = rows.select("home", no_side, *carried)
-    else:
-        # Block pairs (i, j), i <= j: a row of block r takes part in (r, x) and (x, r).
-        own, other = F.col("own"), F.col("other")
-        blocks = rows.join(hot, "home").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-        blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        pair = F.xxhash64("home", F.least(own, other), F.greatest(own, other)).bitwiseAND(F.lit(-_TABLES)).bitwiseOR(F.col("home").bitwiseAND(F.lit(_TABLES - 1)))
-        side = F.when(own == other, 0).when(own < other, 1).otherwise(2).cast("long").alias("side")
-        dealt = rows.join(hot, "home", "left_anti").select("home", no_side, *carried).union(blocks.select(pair.alias("home"), side, *carried))
-    dealt = dealt.repartition(shuffle_partitions(spark), "home").sortWithinPartitions("home")
-    return dealt.mapInArrow(_search_wide(len(masks), wide_apart, most), "a long, b long, home long")
-
-
-def alike(edges: DataFrame, docs: DataFrame, words_in_run: int, least: float) -> DataFrame:
-    """Those of ``edges`` (a, b: doc_ids) whose texts have a ``likeness`` of ``least`` or more.
-
-    Only texts on an edge are carried, and once for each ``home`` (a column of ``edges``, else ``a``) in which they have
-    edges, however many; an edge of several homes is tested in one. Of rows with one doc_id, any that is alike will do.
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    home = F.col("home") if "home" in edges.columns else F.least("a", "b")
-    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), home.alias("home"))
-    edges = table(edges.groupBy("a", "b").agg(F.min("home").alias("home")), "gray-candidates")
-    ends = edges.select("home", F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(ends, "node")
-    texts = texts.select("home", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-    rows = texts.union(edges.select("home", "a", "b", F.lit(None).cast("string").alias("text")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, {}
-        for batch in slices(batches):
-            found = []
-            for home, a, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if home != at:
-                    at, held = home, {}
-                if b is None:
-                    held.setdefault(a, []).append(runs_of(text, words_in_run))
-                elif any(_share(x, y, least) >= least for x in held.get(a, ()) for y in held.get(b, ())):
-                    found.append((a, b))
-            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    # Nulls come first, so a home's texts are there before its edges.
-    dealt = rows.repartition(shuffle_partitions(spark), "home").sortWithinPartitions("home", "b")
-    return dealt.mapInArrow(run, "a long, b long")
-
-
-def wide_parts(classes: DataFrame, radius: int, wide_apart: int, limit: int, check: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
-    """(node, component) of the ``rep`` of ``classes`` that are linked: by their bits, or by what ``check`` confirms."""
-    searched, most, good = classes.withColumn("part", F.col("rep")), 0, []
-    while True:
-        found = table(wide_links(searched, radius, wide_apart, limit, most), "gray-found")
-        edges = found.where("b is not null")
-        if check is None:
-            return connected_components(edges)
-        good.append(table(check(edges), "gray-alike"))
-        parts = connected_components(union_all(good))
-        left = found.where("b is null").select(F.col("a").alias("rep")).distinct()
-        if left.isEmpty():
-            return parts
-        parts = table(parts, "gray-parts").withColumnRenamed("node", "rep")
-        searched = classes.join(left, "rep").join(parts, "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
-        searched, most = table(searched, "gray-left"), max(1, most) * MORE
-
-
-def components(
-    prints: DataFrame, radius: int = RADIUS, limit: int | None = None, wide_apart: int | None = None, check: Callable[[DataFrame], DataFrame] | None = None
-) -> DataFrame:
-    """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once.
-
-    With ``wide_apart``, ``prints`` has the further fingerprints too, and documents equal in all of them are one class;
-    with ``check``, documents of one ``digest``.
-    ``check`` takes edges (a, b, home) between classes' least doc_ids and gives those that hold.
-    """
-    bits = ["fp"] + [c for c in WIDE if wide_apart is not None]
-    same = ["digest"] if check else bits
-    further = [F.min(c).alias(c) for c in bits if check]  # of one digest all are equal
-    classes = table(prints.where("doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"), *further), "gray-classes")
-    if wide_apart is None:
-        parts = connected_components(links(classes, radius, limit or LIMIT))
-    else:
-        parts = wide_parts(classes, radius, wide_apart, limit or WIDE_LIMIT, check)
-    parts = parts.withColumnRenamed("node", "rep")
-    named = classes.join(parts, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
+def components(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFrame:
+    """doc_id, fp, component_id of each row of ``prints`` (doc_id, fp), which is read more than once."""
+    classes = table(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "gray-classes")
+    parts = connected_components(links(classes, radius, limit)).withColumnRenamed("node", "rep")
+    named = classes.join(parts, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     # Copies make hot fingerprints: a left join lets adaptive execution split the hot side.
-    out = prints.join(named, same, "left")
+    out = prints.join(named, "fp", "left")
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
@@ -484,17 +253,5 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS, words_in_run: int = 3, wide_apart: int | None = None, least: float | None = None) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the least of its component; rows without a doc_id stay. All columns are kept.
-
-    With ``least``, texts of different words link only at that likeness of their word runs or more.
-    """
-    prints = table(fingerprints(docs, words_in_run, wide_apart is not None), "gray-prints")
-    check = None if least is None else lambda edges: alike(edges, docs, words_in_run, least)
-    found = components(prints, radius, wide_apart=wide_apart, check=check)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-
-
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))

@@ -15,9 +15,9 @@ inside blocks only and counts the key as a group with pairs left out; later ones
 to one block each and all others to every block, so each pair of different parts meets.
 
 Whole documents are never shuffled. A row is known by its file and its place there; what is needed of a file's rows (the
-places whose text is to be tested and where, in the end the places that go) is written under that file's name, and the
-tasks that scan the file read it there. An edge is tested at the least class that either end has an edge with; where
-more than ``PIECE`` edges meet they are dealt to several tasks.
+places whose text is to be tested and where, in the end the places that go) is written under that file's name and a
+range of ``_RANGE`` places, and the tasks that scan the file read it there. An edge is tested at the least class that
+either end has an edge with; where more than ``PIECE`` edges meet they are dealt to several tasks.
 
 Defined results: of each group the row with the least doc_id stays (null ids last, then the least MD5 of the text; of
 rows that repeat it exactly one); a null text is the empty text, alike to other texts without words; rows without a
@@ -46,6 +46,7 @@ PRINTS = 4
 BITS = 64 * PRINTS
 LIMIT, FIRST, MORE, PIECE = 4096, 8, 32, 2048
 SEED = 9
+_RANGE = 1 << 18
 
 
 def apart_at(like: float) -> float:
@@ -342,11 +343,7 @@ class Located:
             notes = _Notes(folder)
             for batch in batches:
                 file, row = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                for name in np.unique(file).tolist():
-                    note = notes[name]
-                    if note is None:
-                        continue
-                    mine = np.flatnonzero(file == name)
+                for note, mine in notes.about(file, row):
                     order = mine[np.argsort(row[mine], kind="stable")]
                     places = note.column("row").to_numpy()
                     at = np.searchsorted(row[order], places)
@@ -370,10 +367,8 @@ class Located:
                 whole = batch.column(0)
                 file, row = batch.column(1).to_numpy(), batch.column(2).to_numpy()
                 stays = np.ones(len(row), bool)
-                for name in np.unique(file).tolist():
-                    if (note := notes[name]) is not None:
-                        mine = file == name
-                        stays[mine] = ~np.isin(row[mine], note.column("row").to_numpy())
+                for note, mine in notes.about(file, row):
+                    stays[mine] = ~np.isin(row[mine], note.column("row").to_numpy())
                 kept = whole.filter(pa.array(stays))
                 yield pa.RecordBatch.from_arrays(kept.flatten(), schema.names)
 
@@ -384,31 +379,41 @@ class Located:
 
 
 def _by_file(notes: DataFrame) -> str:
-    """Write rows that have a column ``file`` to a folder for each file; returns the folder above."""
+    """Write rows that have columns ``file`` and ``row`` to a folder for each file and range; returns the folder above."""
     folder = scratch_path(notes.sparkSession, "near-notes")
-    notes.repartition(shuffle_partitions(notes.sparkSession), "file").write.partitionBy("file").parquet(folder)
+    notes = notes.withColumn("part", F.floor(F.col("row") / _RANGE).cast("long"))
+    notes.repartition(shuffle_partitions(notes.sparkSession), "file", "part").write.partitionBy("file", "part").parquet(folder)
     forget_at_end(notes.sparkSession, folder)
     return folder
 
 
 class _Notes(dict):
-    """What is written for a file (in order of rows), read when first asked for; None if nothing is."""
+    """What is written for a file and range, in order of rows, read when first asked for; None if nothing is."""
 
     def __init__(self, folder: str):
         super().__init__()
         self.folder = folder
 
-    def __missing__(self, name: int) -> pa.Table | None:
+    def __missing__(self, name: tuple[int, int]) -> pa.Table | None:
         from pyarrow import fs
         from pyarrow import parquet as pq
 
         store, root = open_store(self.folder)
-        found = [x.path for x in store.get_file_info(fs.FileSelector(f"{root}/file={name}", allow_not_found=True)) if x.path.endswith(".parquet")]
+        found = [x.path for x in store.get_file_info(fs.FileSelector(f"{root}/file={name[0]}/part={name[1]}", allow_not_found=True)) if x.path.endswith(".parquet")]
         if len(self) >= 4:
             self.clear()
         self[name] = out = pa.concat_tables([pq.ParquetFile(store.open_input_file(p)).read() for p in found]).sort_by("row") if found else None
         return out
 
+    def about(self, file: np.ndarray, row: np.ndarray) -> Iterator[tuple[pa.Table, np.ndarray]]:
+        """The notes that some of a batch's rows may be in, and which rows those are."""
+        part = row // _RANGE
+        for name in np.unique(file).tolist():
+            own = file == name
+            for k in np.unique(part[own]).tolist():
+                if (note := self[name, k]) is not None:
+                    yield note, np.flatnonzero(own & (part == k))
+
 
 def sketches(texts: DataFrame) -> DataFrame:
     """file, row, id, raw, digest of the words and the 256 bits of each row of ``Located.texts``; a narrow map."""

@@ -69,3 +69,19 @@ def test_mix_equals_its_sql(spark, corpus):
     names = [c[0] for c in cursor.description]
     theirs = sorted(tuple(r[names.index(c)] for c in ("doc_id", "size", "source_size", "target", "taken")) for r in cursor.fetchall())
     assert sorted(tuple(r) for r in mixing.op7_mix(spark, root).collect()) == theirs
+
+
+def test_empty_tables_and_other_columns(spark, corpus, tmp_path):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    for name, columns in (("documents", DOCS), ("labels", "doc_id long, quality int, toxic int")):
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    root = corpus[0]
+    docs = spark.read.parquet(f"{root}/documents.parquet").where("doc_id < 40 OR doc_id >= 2000")
+    wide = docs.withColumn("_times", F.lit(1)).withColumn("own", F.lit("x")).withColumn("times", F.lit(2)).withColumn("file", F.lit(3))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        wide = stage(spark, wide, root)
+        assert wide.columns == [*docs.columns, "_times", "own", "times", "file"], name
+    assert wide.count() > 0

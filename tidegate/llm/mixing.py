@@ -109,10 +109,11 @@ def mix(docs: DataFrame, seed: str = SEED, **options) -> DataFrame:
 
 def repeated(docs: DataFrame, seed: str = SEED, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, with its own columns."""
-    made = plan(table(sizes(docs, seed), "mix-sizes"), **options).select(F.col("source").alias("_plan_source"), F.col("whole").alias("_whole"), F.col("until").alias("_until"))
-    times = F.col("_whole") + F.coalesce((draw(F.col("doc_id"), seed) <= F.col("_until")).cast("long"), F.lit(0))
-    rows = docs.join(made, docs["source"].eqNullSafe(F.col("_plan_source"))).withColumn("_times", times).where("_times > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    made = plan(table(sizes(docs, seed), "mix-sizes"), **options).select(F.col("source").alias("p_source"), F.col("whole"), F.col("until"))
+    own = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+    rows = docs.select(own.alias("own"), F.col("source").alias("source"), draw(F.col("doc_id"), seed).alias("draw"))
+    rows = rows.join(made, F.col("source").eqNullSafe(F.col("p_source"))).withColumn("times", repeats()).where("times > 0")
+    return rows.select("own", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("own.*")
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

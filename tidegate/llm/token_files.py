@@ -11,7 +11,7 @@ numbers are little-endian. ``ranks.bin`` beside the shards lists the id of each
 
 Files are written under a name of the attempt and then renamed, so a repeated task replaces its file by equal bytes.
 Defined results: a null text is the empty text; every document ends with the end id; equal or null doc_ids keep all
-their rows (nulls first); an empty table gives no shards and no rows; extra columns are ignored.
+their rows (nulls first, rows of one doc_id in the order of a hash of their ids); an empty table gives no shards and no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -221,7 +221,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_5
             store.move(attempt, name)
             yield pa.RecordBatch.from_pydict({"path": [name], "first_id": pa.array([first], pa.int64()), "n_docs": [docs_n], "n_ids": [ids_n]})
 
-    ordered = encoded.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    tie = F.xxhash64("ids")  # also deals rows of one doc_id to several tasks
+    ordered = encoded.repartitionByRange(shuffle_partitions(spark), F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie, "ids")
     manifest = table(ordered.mapInArrow(write, "path string, first_id long, n_docs long, n_ids long"), "token-manifest")
     for path in encoded.inputFiles()[:1]:
         remove(spark, path.rpartition("/")[0])

@@ -1,26 +1,25 @@
-"""A corpus from documents to token ids: four stages, each written as Parquet and read again by the next."""
+"""A corpus from documents to token ids: four stages, each written as Parquet and read again by the next.
+
+Defined results: null texts count as empty ones; empty texts are one group of near copies, of which one document stays
+(and is taken no times by the mix, as it has no words); rows without a doc_id, source or language are documents like any
+others; repeated rows are copies; further columns are carried to the mix; empty tables give no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, mixing, simhash_gray, toxicity
+from tidegate.llm import bpe, mixing, near_dedup, toxicity
 from tidegate.llm.common import documents, table
 
-#: Runs of five words, alike from 0.8 on; two of eight blocks of any of the four fingerprints choose the keys. Documents
-#: of that likeness differ in 15.1% of the bits on average (angle between their counts), 38.8 of 256 with a standard
-#: deviation of 5.7. Up to 3.7 deviations more make a candidate, whose word runs are then compared themselves.
-NEAR_WORDS, NEAR_LIKENESS, NEAR_BITS, NEAR_WIDE = 5, 0.8, 6, 60
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity field, fitted on the labelled documents, doesn't reject."""
     return toxicity.without_toxic(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least doc_id."""
-    return simhash_gray.one_of_each(docs, NEAR_BITS, NEAR_WORDS, NEAR_WIDE, NEAR_LIKENESS)
+    """One document of each group whose runs of five words have a likeness of 0.8 or more: the one with the least doc_id."""
+    return near_dedup.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -112,14 +112,14 @@ def edited_fingerprints(docs: DataFrame, radius: int = RADIUS, query_every: int
     chain = chain.withColumn("_after", F.explode(F.when(F.col("n") > 1, F.array(F.struct(F.col("next"), F.lit(1).cast("long").alias("times")), F.struct(me.alias("next"), (F.col("n") - 1).alias("times")))).otherwise(F.array(F.struct(F.col("next"), F.lit(1).cast("long").alias("times"))))))
     chain = chain.select("id", "raw", "key", "n_chars", "_after.*")
 
-    def named(prefix: str, *more: str) -> DataFrame:
-        half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
-        at = F.col("next") if prefix == "next" else me
-        return chain.select(at["id"].alias("_id"), at["raw"].alias("_raw"), "key", F.col("next.key").alias("next"), "times", half, *more)
-
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))
-    heads = plain.join(named("next"), same).select("key", "next", F.expr("substring(text, 1, half)").alias("head"))
-    joined = plain.join(named("own", "n_chars"), same).select("id", "key", "next", "times", "half", "n_chars", "text").join(heads, ["key", "next"])
+    def same(name: str) -> Column:
+        return F.col("id").eqNullSafe(F.col(f"{name}_id")) & (F.col("raw") == F.col(f"{name}_raw"))
+
+    # Both joins look for rows of ``plain`` by id and raw, so its texts are shuffled once, and the heads to where they are added.
+    half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
+    following = chain.select(F.col("next.id").alias("next_id"), F.col("next.raw").alias("next_raw"), F.col("id").alias("own_id"), F.col("raw").alias("own_raw"), "key", F.col("next.key").alias("next"), "times", "n_chars", half)
+    heads = plain.join(following, same("next")).select("own_id", "own_raw", "key", "next", "times", "n_chars", "half", F.expr("substring(text, 1, half)").alias("head"))
+    joined = plain.join(heads, same("own")).select("id", "key", "next", "times", "half", "n_chars", "text", "head")
     edited = F.concat(F.expr("substring(text, 1, length(text) - half)"), F.col("head"))
     both = joined.select("id", "key", "next", "times", "n_chars", "text", edited.alias("edited"))
     keys = ["id", "key", "next", "times", "n_chars", "edited_sha256"]

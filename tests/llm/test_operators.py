@@ -362,6 +362,12 @@ def test_code_estimates_are_unbiased_and_bounded():
     upper = codes.upper(a, b)
     estimate = upper - codes.error[a] - codes.rounding[b] / codes.factor[a]
     assert abs((estimate - exact).mean()) < 0.03 and (upper >= exact).all()
+    near = units + rng.standard_normal(units.shape) * 0.055
+    near /= np.linalg.norm(near, axis=1)[:, None]
+    both = embeddings.Codes(embeddings.encode(np.concatenate([units, near]), np.zeros((800, 1), np.int64)), 64)
+    exact, upper = np.einsum("ij,ij->i", units, near), both.upper(np.arange(400), np.arange(400, 800), 0.9)
+    assert (exact >= 0.9).sum() > 200 and (upper[exact >= 0.9] >= exact[exact >= 0.9]).all()
+    assert (both.upper(a, b, 0.9) < 0.9).mean() > 0.99  # pairs far apart are dropped
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var a="</p>";</script></head><body><nav><ul><li><a href="/a">Home</a></li></ul></nav>

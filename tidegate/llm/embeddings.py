@@ -1,10 +1,11 @@
 """Near-duplicate embeddings by randomised-rotation binary codes with correction factors (operator 8).
 
 A unit vector is turned by a seeded random rotation and stored as the signs of its coordinates (one bit each), one
-correction factor, its inner product with the vector that the signs stand for, and a four-bit rounding for its part as
-a query. From the code of one vector and the rounding of the other, bit counts give an unbiased estimate of the inner
-product of the two, and the factor bounds its error. A pair whose upper bound is below the threshold is dropped; every
-other pair is recomputed exactly in double precision, so nothing below the threshold links.
+correction factor, its inner product with the vector that the signs stand for, and a rounding to ``PLANES`` bits for its
+part as a query. From the code of one vector and the rounding of the other, bit counts give an unbiased estimate of the
+inner product of the two. Its error shrinks with the root of 1 - product squared, so the factor bounds it for all pairs
+at the threshold or above. A pair whose upper bound is below the threshold is dropped; every other pair is recomputed
+exactly in double precision, so nothing below the threshold links.
 
 Codes are made once and meet in hash tables, each keyed by ``bits`` of further seeded rotations. Bits grow with the
 logarithm of the rows, so a key's expected rows do not grow, and tables follow from the recall aimed at for the worst
@@ -37,6 +38,7 @@ LIMIT = 4096
 #: Standard deviations of the estimate's error that the confidence bound allows for.
 SIGMAS = 4.0
 SEED = 8
+PLANES = 6
 #: Above the number of tables, a power of two: the last bits of a group's name tell its table.
 _TABLES = 1 << 13
 
@@ -62,9 +64,9 @@ def keys(units: np.ndarray, bits: int, tables: int, seed: int = SEED) -> np.ndar
 
 
 def stored(dim: int, tables: int) -> np.dtype:
-    """What is kept of a vector of that length: factor, code, range and four-bit planes of its rounding, and its keys."""
+    """What is kept of a vector of that length: factor, code, range and bit planes of its rounding, and its keys."""
     words = -(-dim // 64)
-    return np.dtype([("factor", "<f8"), ("low", "<f8"), ("step", "<f8"), ("code", "<u8", (words,)), ("planes", "<u8", (4, words)), ("keys", "<u8", (tables,))])
+    return np.dtype([("factor", "<f8"), ("low", "<f8"), ("step", "<f8"), ("code", "<u8", (words,)), ("planes", "<u8", (PLANES, words)), ("keys", "<u8", (tables,))])
 
 
 def _packed(bits: np.ndarray, words: int) -> np.ndarray:
@@ -82,11 +84,11 @@ def encode(units: np.ndarray, own: np.ndarray, seed: int = SEED) -> np.ndarray:
     words = out["code"].shape[1]
     out["code"] = _packed(turned > 0, words)
     low, high = turned.min(1, keepdims=True), turned.max(1, keepdims=True)
-    out["low"], out["step"] = low[:, 0], ((high - low) / 15)[:, 0]
+    out["low"], out["step"] = low[:, 0], ((high - low) / (2**PLANES - 1))[:, 0]
     step = np.where(out["step"] > 0, out["step"], 1.0)[:, None]
     dither = np.random.default_rng([seed, 4]).random((1, dim))
-    level = np.clip(np.floor((turned - low) / step + dither), 0, 15).astype(np.uint8)
-    for k in range(4):
+    level = np.clip(np.floor((turned - low) / step + dither), 0, 2**PLANES - 1).astype(np.uint8)
+    for k in range(PLANES):
         out["planes"][:, k] = _packed(level >> k & 1, words)
     out["keys"] = own
     return out
@@ -98,7 +100,7 @@ class Codes:
     def __init__(self, held: np.ndarray, dim: int):
         self.dim, self.factor, self.low, self.step = dim, held["factor"], held["low"], held["step"]
         self.code, self.keys = np.ascontiguousarray(held["code"]), held["keys"]
-        self.planes = [np.ascontiguousarray(held["planes"][:, k]) for k in range(4)]
+        self.planes = [np.ascontiguousarray(held["planes"][:, k]) for k in range(PLANES)]
         self.total = sum(np.bitwise_count(p).sum(1).astype(np.int64) << k for k, p in enumerate(self.planes))
         self.ones = np.bitwise_count(self.code).sum(1).astype(np.int64)
         # Of the estimate itself, and of the rounding (at most one step in each coordinate).
@@ -106,14 +108,14 @@ class Codes:
         self.error = SIGMAS * np.sqrt((1 - f2) / f2 / max(1, dim - 1))
         self.rounding = SIGMAS * self.step / 2
 
-    def upper(self, data: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Upper confidence bound of the inner products of pairs: binary code of one, four-bit query of the other."""
+    def upper(self, data: np.ndarray, query: np.ndarray, threshold: float = 0.0) -> np.ndarray:
+        """Upper confidence bound of inner products of ``threshold`` or more: binary code of one, rounding of the other."""
         met = np.zeros(len(data), np.int64)
         for k, plane in enumerate(self.planes):
             met += np.bitwise_count(self.code[data] & plane[query]).sum(1).astype(np.int64) << k
         signs = self.step[query] * (2 * met - self.total[query]) + self.low[query] * (2 * self.ones[data] - self.dim)
         estimate = signs / math.sqrt(self.dim) / self.factor[data]
-        return estimate + self.error[data] + self.rounding[query] / self.factor[data]
+        return estimate + self.error[data] * math.sqrt(1 - threshold**2) + self.rounding[query] / self.factor[data]
 
 
 def _units(rows: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -146,7 +148,7 @@ def left_over(codes: Codes, ends: np.ndarray, side: np.ndarray, number: np.ndarr
         b = np.arange(len(a)) - np.repeat(np.cumsum(w) - w, w) + a + 1
         keep = (side[a] == 0) | (side[a] != side[b])
         a, b = a[keep], b[keep]
-        keep = codes.upper(a, b) >= threshold
+        keep = codes.upper(a, b, threshold) >= threshold
         a, b = a[keep], b[keep]
         keep = (codes.keys[a] == codes.keys[b]).argmax(1) == number[a]
         yield a[keep], b[keep]

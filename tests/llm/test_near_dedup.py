@@ -173,3 +173,41 @@ def test_rows_of_files_are_found_by_place(spark, tmp_path):
         assert sorted(r["doc_id"] for r in found.collect()) == sorted([1, 3, *range(0, 600, 3)])
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_no_row_is_made_for_a_pair_of_a_dense_group(spark, monkeypatch):
+    """Of 600 copies, each pair a candidate and alike to the base only, all pairs are tested but few become rows."""
+    rnd, made, table = random.Random(22), [], near_dedup.table
+    words = [f"w{rnd.randrange(90_000)}" for _ in range(500)]
+    rows = [(0, " ".join(words))] + [(k, edited(words, [55 * p + rnd.randrange(50) for p in range(9)], rnd)) for k in range(1, 601)]
+
+    def counted(df, name):
+        out = table(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "table", counted)
+    kept = kept_ids(spark, rows[1:])  # without the base, so no part is confirmed and each pair is left over
+    tables = near_dedup.plan(len(rows))[1]
+    assert len(kept) > 550
+    assert max(n for _, n in made) <= 12 * len(rows) * tables and sum(n for name, n in made if name == "near-edges") < 600 * 599 / 8
+
+
+def test_rows_of_different_parts_meet_in_one_cell(spark):
+    rnd = random.Random(23)
+    rows = [(k, rnd.choice([0, 0, 0, k % 9, k]), *[rnd.randrange(3) for _ in range(4)]) for k in range(300)]
+    left = spark.createDataFrame(rows, "rep long, part long, " + ", ".join(f"w{k} long" for k in range(4)))
+    keys = np.array([[1, 0, 0, 0], [0, 2, 1, 0]], np.int64)
+    for cell in (8, 40, 1000):
+        dealt, met, part = {}, {}, {r[0]: r[1] for r in rows}
+        for r in near_dedup.cells(left, keys, cell).collect():
+            dealt.setdefault(r["cell"], []).append((r["rep"], r["side"], r["key"]))
+        assert max(map(len, dealt.values())) <= max(3 * cell, 30) or cell == 1000
+        for here in dealt.values():
+            for i, (x, sx, key) in enumerate(here):
+                for y, sy, _ in here[:i]:
+                    if part[x] != part[y] and (sx != sy or sx == 0):
+                        name = key, min(x, y), max(x, y)
+                        met[name] = met.get(name, 0) + 1
+        expected = {(t, x[0], y[0]) for t, m in enumerate(keys.tolist()) for x in rows for y in rows if x[0] < y[0] and x[1] != y[1] and all(a & k == b & k for a, b, k in zip(x[2:], y[2:], m, strict=True))}
+        assert set(met) == expected and set(met.values()) == {1}

@@ -7,12 +7,13 @@ a key's expected number of rows doesn't grow; the tables follow from the recall
 Inside a key the Gray-order index drops whole nodes by their accumulated differences, and what differs in at most
 ``NEAR_BITS`` bits is a candidate. The word runs themselves decide over every candidate.
 
-A task hands on a spanning forest of its candidates, those of the fewest bits first, and each group of candidates from
-which it left pairs out. After the forests are tested, a group whose members are all in one part needs no more; the
-others are searched again, parts confirmed being one, with ``MORE`` times as many pairs a row. It ends when no task
-leaves a pair out between two parts. A key with more than ``LIMIT`` rows is cut into blocks. The first search compares
-inside blocks only and counts the key as a group with pairs left out; later ones deal the rows of the key's largest part
-to one block each and all others to every block, so each pair of different parts meets.
+A task hands on a spanning forest of its candidates, those of the fewest bits first, the ``FIRST`` closest of each row, and
+each group of candidates from which it left pairs out. After those are tested, a group whose members are all in one part
+needs no more. The members of the others meet once more with their texts, and all their candidates between different parts
+are tested where they meet, each under the first key that both share, so no row is made for a pair (``tested_in_cells``). A
+key with more than ``LIMIT`` rows is cut into blocks: the first search compares inside blocks only and counts the key as a
+group with pairs left out. Later a key of more than ``CELL`` rows is cut into blocks of which each two meet, but for those
+of its largest part.
 
 Whole documents are never shuffled. A row is known by its file and its place there; what is needed of a file's rows (the
 places whose text is to be tested and where, in the end the places that go) is written under that file's name and a
@@ -33,10 +34,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import connected_components, forget_at_end, scratch_path, settle, ship, shuffle_partitions, slices, table, union_all, whole_groups
+from tidegate.llm.common import connected_components, forget_at_end, scratch_path, settle, ship, shuffle_partitions, slices, table, whole_groups
 from tidegate.llm.simhash_gray import found_within, sketch, word_hashes
 from tidegate.llm.token_files import open_store
 
@@ -44,7 +45,7 @@ WORDS, LIKE = 5, 0.8
 RECALL = 0.97
 PRINTS = 4
 BITS = 64 * PRINTS
-LIMIT, FIRST, MORE, PIECE = 4096, 8, 32, 2048
+LIMIT, FIRST, CELL, PIECE = 4096, 8, 1024, 2048
 SEED = 9
 _RANGE = 1 << 18
 
@@ -144,11 +145,11 @@ def closest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.nd
     return np.unique(order[rank < most] % max(n, 1))
 
 
-def candidates(words: np.ndarray, starts: np.ndarray, side: np.ndarray, part: np.ndarray, most: int, near_bits: int = NEAR_BITS):
+def candidates(words: np.ndarray, starts: np.ndarray, part: np.ndarray, most: int, near_bits: int = NEAR_BITS):
     """Positions (a, b) of a minimum spanning forest, by differing bits, of the candidates between parts and of the
     ``most`` closest of each row; and for each row the group of candidates it is in, -1 where none was left out.
 
-    ``side``: rows of side 2 do not meet each other (they do so in another block); ``part``: numbered from 0.
+    ``part``: numbered from 0.
     """
     a = b = apart = np.zeros(0, np.int64)
     left, parts, full = np.zeros(len(part), bool), int(part.max(initial=-1)) + 1, 1 << 20
@@ -161,7 +162,7 @@ def candidates(words: np.ndarray, starts: np.ndarray, side: np.ndarray, part: np
         return a[keep], b[keep], apart[keep]
 
     for x, y, bits in found_within(words, starts, near_bits):
-        met = ((side[x] != 2) | (side[y] != 2)) & (part[x] != part[y])
+        met = part[x] != part[y]
         a, b, apart = np.append(a, x[met]), np.append(b, y[met]), np.append(apart, bits[met])
         if len(a) > full:  # what is chosen of a part's choice and the rest is what is chosen of all
             a, b, apart = chosen()
@@ -177,19 +178,19 @@ def _search(most: int, near_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, 1, 1 << 18):
-            home, side, rep, part, *words = (c.to_numpy() for c in rows.columns)
+            home, rep, *words = (c.to_numpy() for c in rows.columns)
             opens = np.flatnonzero(np.append(True, home[1:] != home[:-1]))
-            many = np.minimum.reduceat(part, opens) != np.maximum.reduceat(part, opens)
-            many = np.repeat(many, np.diff(np.append(opens, len(home))))
+            sizes = np.diff(np.append(opens, len(home)))
+            many = np.repeat(sizes > 1, sizes)
             if not many.any():
                 continue
-            home, side, rep, part = home[many], side[many], rep[many], part[many]
+            home, rep = home[many], rep[many]
             words = np.array([w[many] for w in words]).view(np.uint64)
             order = np.lexsort((*gray_ranks(words)[::-1], home))
-            home, side, rep, words = home[order], side[order], rep[order], words[:, order]
-            part = np.unique(part[order], return_inverse=True)[1]
+            home, rep, words = home[order], rep[order], words[:, order]
+            part = np.unique(rep, return_inverse=True)[1]
             starts = np.flatnonzero(np.append(True, home[1:] != home[:-1]))
-            a, b, group = candidates(words, starts, side, part, most, near_bits)
+            a, b, group = candidates(words, starts, part, most, near_bits)
             ends = {"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[b], pa.int64())}
             yield pa.RecordBatch.from_pydict(ends | {"group": pa.nulls(len(a), pa.int64())})
             some = group >= 0
@@ -217,45 +218,152 @@ def gray_ranks(words: np.ndarray) -> np.ndarray:
 _NAMES = tuple(f"w{k}" for k in range(PRINTS))
 
 
-def search(classes: DataFrame, keys: np.ndarray, most: int, first: bool, limit: int = LIMIT, near_bits: int = NEAR_BITS) -> DataFrame:
-    """Edges and groups (see ``_search``) of ``classes`` (rep, part and the words)."""
-    spark = classes.sparkSession
-    ship(spark)
-    every = max(1, limit // 32)
-
-    def keyed(some: DataFrame) -> DataFrame:
-        hashes = [F.xxhash64(*[F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(_NAMES, mask, strict=True)], F.lit(t)) for t, mask in enumerate(keys.tolist())]
-        return some.select("rep", "part", *_NAMES, F.explode(F.array(*hashes)).alias("home"))
+def keyed(classes: DataFrame, keys: np.ndarray, *carried: str) -> DataFrame:
+    """``home``, ``carried`` and the words of each class under each key, and the key's number."""
+    homes = [F.xxhash64(*[F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(_NAMES, mask, strict=True)], F.lit(t)) for t, mask in enumerate(keys.tolist())]
+    return classes.select(F.posexplode(F.array(*homes)).alias("key", "home"), *carried, *_NAMES)
 
-    def side(n: int) -> object:
-        return F.lit(n).cast("long").alias("side")
 
-    rows, carried = keyed(classes), ("rep", "part", *_NAMES)
+def search(classes: DataFrame, keys: np.ndarray, most: int = FIRST, limit: int = LIMIT, near_bits: int = NEAR_BITS) -> DataFrame:
+    """Edges and groups (see ``_search``) of ``classes`` (rep and the words)."""
+    spark = classes.sparkSession
+    ship(spark)
+    every, carried = max(1, limit // 32), ("rep", *_NAMES)
+    rows = keyed(classes, keys, "rep").drop("key")
     # Which keys are cut is told from a sample: that changes the work of a task but no pair.
-    sampled = keyed(classes.where(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(every)) == 0)).groupBy("home").count()
+    sampled = keyed(classes.where(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(every)) == 0), keys, "rep").groupBy("home").count()
     hot = table(sampled.where(F.col("count") * every > limit).select("home", F.ceil(F.col("count") * every / limit).alias("blocks")), "near-hot")
     more = None
     if hot.isEmpty():
-        dealt = rows.select("home", side(0), *carried)
+        dealt = rows.select("home", *carried)
     else:
         cut = table(rows.join(hot, "home"), "near-cut")
         block = F.pmod(F.xxhash64("rep", "home"), F.col("blocks"))
-        if first:
-            blocks = cut.select(F.xxhash64("home", block).alias("home"), side(0), *carried)
-            more = cut.select(F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), F.col("home").alias("group"))
-        else:
-            main = cut.groupBy("home", "part").count().groupBy("home").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
-            cut = cut.join(main, "home")
-            own = cut.where("part = main").select(F.xxhash64("home", block).alias("home"), side(1), *carried)
-            every_block = cut.where("part <> main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            others = every_block.select(F.xxhash64("home", "block").alias("home"), F.when(F.col("block") == 0, 0).otherwise(2).cast("long").alias("side"), *carried)
-            blocks = own.union(others)
-        dealt = rows.join(hot, "home", "left_anti").select("home", side(0), *carried).union(blocks)
+        blocks = cut.select(F.xxhash64("home", block).alias("home"), *carried)
+        more = cut.select(F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), F.col("home").alias("group"))
+        dealt = rows.join(hot, "home", "left_anti").select("home", *carried).union(blocks)
     dealt = dealt.repartition(shuffle_partitions(spark), "home").sortWithinPartitions("home")
     found = dealt.mapInArrow(_search(most, near_bits), "a long, b long, group long")
     return found if more is None else found.union(more)
 
 
+def cells(left: DataFrame, keys: np.ndarray, cell: int = CELL) -> DataFrame:
+    """cell, side, key, rep, part and words of the rows of ``left`` (rep, part and the words), dealt so that each two rows
+    of a key that lie in different parts meet in one cell: if their sides differ or are 0. Some 2 ``cell`` rows meet at most.
+    """
+    rows = table(keyed(left, keys, "rep", "part"), "near-keyed")
+    sizes = rows.groupBy("home", "part").count().groupBy("home")
+    sizes = sizes.agg(F.max(F.struct("count", "part")).alias("main"), F.sum("count").alias("rows")).where("rows > main.count")
+    others = F.col("rows") - F.col("main.count")
+    sizes = sizes.select("home", F.col("main.part").alias("main"), (F.col("rows") <= 2 * cell).alias("one"), F.ceil(F.col("main.count") / cell).alias("mains"), F.ceil(others / cell).alias("others"))
+    rows = rows.join(sizes, "home")
+    own = F.pmod(F.xxhash64("rep", "home"), F.when(F.col("part") == F.col("main"), F.col("mains")).otherwise(F.col("others")))
+
+    def place(kind: int, a: Column, b: Column, side: Column) -> Column:
+        return F.struct(F.xxhash64("home", F.lit(kind), a, b).alias("cell"), side.cast("long").alias("side"))
+
+    def each(upto: str, make: Callable[[Column], Column]) -> Column:
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col(upto) - 1), make)
+
+    zero = F.lit(0)
+    of_main = each("others", lambda k: place(1, own, k, F.lit(1)))
+    of_others = F.concat(
+        each("mains", lambda k: place(1, k, own, F.lit(2))),
+        each("others", lambda k: place(2, F.least(own, k), F.greatest(own, k), F.when(own == k, 0).when(own < k, 1).otherwise(2))),
+    )
+    places = F.when(F.col("one"), F.array(place(0, zero, zero, zero))).when(F.col("part") == F.col("main"), of_main).otherwise(of_others)
+    return rows.select(F.explode(places).alias("at"), "key", "rep", "part", *_NAMES).select("at.*", "key", "rep", "part", *_NAMES)
+
+
+def _untested(side: np.ndarray, key: np.ndarray, part: np.ndarray, words: np.ndarray, starts: np.ndarray, masks: np.ndarray, near_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates (positions) of a cell between parts that share no key before the cell's."""
+    for x, y, bits in found_within(words, starts, near_bits):
+        met = (part[x] != part[y]) & ((side[x] != side[y]) | (side[x] == 0))
+        x, y, bits = x[met], y[met], bits[met]
+        if len(x):
+            other = words[:, x] ^ words[:, y]
+            for t in range(int(key[x].max())):
+                before = (t < key[x]) & ~(other & masks[t][:, None]).any(0)
+                x, y, bits, other = x[~before], y[~before], bits[~before], other[:, ~before]
+            order = np.argsort(bits, kind="stable")
+            yield x[order], y[order]
+
+
+def tested_in_cells(left: DataFrame, keys: np.ndarray, texts: Callable[[DataFrame], DataFrame], least: float = LIKE, near_bits: int = NEAR_BITS, cell: int = CELL) -> DataFrame:
+    """Links (a, b) that join the parts of ``left`` (rep, part and the words) as all candidates between them would.
+
+    The rows that have a candidate in a cell are sent there with their texts; the pairs are found again and tested there,
+    until a cell's parts are joined, so rows are made for members of cells only.
+    """
+    spark = left.sparkSession
+    ship(spark)
+    bits = keys.view(np.uint64)
+    columns = ("side", "key", "rep", "part", *_NAMES)
+
+    def concerned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, 1, 1 << 18):
+            home = rows.column(0).to_numpy()
+            words = np.array([rows.column(c).to_numpy() for c in _NAMES]).view(np.uint64)
+            order = np.lexsort((*gray_ranks(words)[::-1], home))
+            home, words = home[order], words[:, order]
+            side, key, part = (rows.column(c).to_numpy()[order] for c in ("side", "key", "part"))
+            meets = np.zeros(len(home), bool)
+            for x, y in _untested(side, key, part, words, np.flatnonzero(np.append(True, home[1:] != home[:-1])), bits, near_bits):
+                meets[x] = meets[y] = True
+            yield from rows.take(pa.array(order[meets])).combine_chunks().to_batches()
+
+    kind = "cell long, side long, key int, rep long, part long, " + ", ".join(f"{c} long" for c in _NAMES)
+    dealt = cells(left, keys, cell).repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell")
+    rows = table(dealt.mapInArrow(concerned, kind), "near-cells")
+    sent = texts(rows.select(F.col("cell").alias("home"), F.col("rep").alias("node")))
+    nothing = [F.lit(None).cast("int" if c == "key" else "long").alias(c) for c in columns]
+    sent = sent.select(F.col("home").alias("cell"), *[F.col("node").alias(c) if c == "rep" else x for c, x in zip(columns, nothing, strict=True)], "text")
+    both = sent.union(rows.select("cell", *columns, F.lit(None).cast("string").alias("text")))
+
+    def links(known: list[tuple], held: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+        side, key, rep, part = (np.array(c) for c in list(zip(*known, strict=True))[:4])
+        words = np.array([k[4:] for k in known], np.int64).T.copy().view(np.uint64)
+        order = np.lexsort(gray_ranks(words)[::-1])
+        side, key, rep, part, words = side[order], key[order], rep[order], part[order], words[:, order]
+        number = np.unique(part, return_inverse=True)[1]
+        names, part_of, joined, found = rep.tolist(), number.tolist(), list(range(len(part))), []
+
+        def root(k: int) -> int:
+            while joined[k] != k:
+                joined[k] = k = joined[joined[k]]
+            return k
+
+        for x, y in _untested(side, key, number, words, np.zeros(1, np.int64), bits, near_bits):
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                a, b = root(part_of[i]), root(part_of[j])
+                if a != b and share(held[names[i]], held[names[j]], least) >= least:
+                    found.append((names[i], names[j]))
+                    joined[a] = b
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, known, held = None, [], {}
+
+        def done() -> pa.RecordBatch:
+            found = links(known, held) if known else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+        for batch in slices(batches):
+            for home, side, key, rep, part, *words, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if home != at:
+                    yield done()
+                    at, known, held = home, [], {}
+                if side is None:
+                    if rep not in held:
+                        held[rep] = runs_of(text)
+                else:
+                    known.append((side, key, rep, part, *words))
+        yield done()
+
+    dealt = both.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def alike(edges: DataFrame, texts: Callable[[DataFrame], DataFrame], least: float = LIKE, words_in_run: int = WORDS, piece: int = PIECE) -> DataFrame:
     """Of ``edges`` (a, b) whose texts have a likeness of ``least`` or more enough to join what all of them join.
 
@@ -305,20 +413,19 @@ def alike(edges: DataFrame, texts: Callable[[DataFrame], DataFrame], least: floa
 def linked_classes(classes: DataFrame, texts: Callable[[DataFrame], DataFrame], recall: float = RECALL, limit: int = LIMIT, least: float = LIKE) -> DataFrame:
     """(node, component) of the ``rep`` of ``classes`` (rep and the words) that are alike to another."""
     keys = masks(*plan(classes.count(), recall))
-    searched, most, good = classes.withColumn("part", F.col("rep")), FIRST, []
-    while True:
-        found = table(search(searched, keys, most, not good, limit), "near-found")
-        good.append(table(alike(found.where("b is not null").select("a", "b"), texts, least), "near-alike"))
-        parts = table(connected_components(union_all(good)), "near-parts").withColumnRenamed("node", "rep")
-        members = found.where("b is null").select(F.col("a").alias("rep"), "group").distinct()
-        members = members.join(parts, "rep", "left").select("rep", "group", F.coalesce("component", "rep").alias("part"))
-        members = table(members, "near-members")
-        apart = members.groupBy("group").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("group")
-        left = table(members.join(apart, "group", "left_semi").select("rep", "part").distinct(), "near-left")
-        if left.isEmpty():
-            return parts.withColumnRenamed("rep", "node")
-        searched = table(classes.join(left, "rep"), "near-again")
-        most *= MORE
+    found = table(search(classes, keys, FIRST, limit), "near-found")
+    good = table(alike(found.where("b is not null").select("a", "b"), texts, least), "near-alike")
+    parts = table(connected_components(good), "near-parts").withColumnRenamed("node", "rep")
+    members = found.where("b is null").select(F.col("a").alias("rep"), "group").distinct()
+    members = members.join(parts, "rep", "left").select("rep", "group", F.coalesce("component", "rep").alias("part"))
+    members = table(members, "near-members")
+    apart = members.groupBy("group").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("group")
+    left = table(members.join(apart, "group", "left_semi").select("rep", "part").distinct(), "near-left")
+    if not left.isEmpty():
+        left = table(classes.join(left, "rep"), "near-again")
+        more = table(tested_in_cells(left, keys, texts, least, cell=min(limit, CELL)), "near-more")
+        parts = table(connected_components(good.union(more)), "near-joined").withColumnRenamed("node", "rep")
+    return parts.withColumnRenamed("rep", "node")
 
 
 class Located:

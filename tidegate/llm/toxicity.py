@@ -1,9 +1,10 @@
 """Toxic spans by a linear-chain conditional random field over words, aggregated to document scores (operator 6).
 
 Labels exist for documents only, so tokens are labelled first: a word of a toxic training document is toxic if one of
-its features (the word, its beginnings) is far more frequent in toxic than in clean training documents; no word of a
-clean one is. The field has two labels, weights for features, a bias and transitions, fitted by gradients of the
-conditional likelihood (forward-backward). The marginals of a document (their sum, rate and maximum) go through a
+its features (the word, its beginnings, the word with the one before it) is far more frequent in toxic than in clean
+training documents; no word of a clean one is. A pair is a feature if it says more than either of its words, so words
+that are clean alone or in another order are told apart. The field has two labels, weights for features, a bias and transitions, fitted by gradients of the
+conditional likelihood (forward-backward). The marginals of a document (their sum, rate, maximum and second) go through a
 logistic regression that was fitted on marginals from the other half of the training rows, so that scores are honest.
 
 The fit sees a bounded sample: at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled rows in the order of a seeded hash, and of
@@ -21,8 +22,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from tidegate.llm.common import documents, ship, slices
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 1500, 6_000_000
 THRESHOLD = 0.7
 ROUNDS = 25
+#: What a feature must show: log-odds, and evidence (chi-square of one degree) to be used and to label words of toxic texts.
+ODDS, EVIDENCE, STRONG = 1.0, 8.0, 20.0
 _WORDS = re.compile(r"\w+").findall
 _PREFIXES = (3, 4, 5, 6, 7)
 _STRETCH = 64
@@ -73,6 +77,7 @@ class Field:
         self.ahead = _Powers(self.ahead)
         self.behind = _Powers(self.behind)
         self.lexicon: dict[str, float] = _Lexicon(self.weights)
+        self.pairs = {tuple(f.split(" ")): x for f, x in self.weights.items() if " " in f}
 
     def marginals(self, places: list[int], values: list[float], n: int) -> list[float]:
         """Probability of the toxic label at ``places``, whose feature sums are ``values``, among ``n`` words."""
@@ -111,6 +116,8 @@ class Field:
         """Number of words, and places and marginals of the words with known features."""
         words = _WORDS(lowered(text))
         values = np.fromiter(map(self.lexicon.__getitem__, words), np.float64, len(words))
+        if self.pairs and len(words) > 1:
+            values[1:] += np.fromiter(map(self.pairs.get, zip(words, words[1:], strict=False), repeat(0.0)), np.float64, len(words) - 1)
         places = np.flatnonzero(values)
         if not len(places):
             return len(words), [], []
@@ -163,22 +170,49 @@ class _Lexicon(dict):
 
 
 def describe(n: int, marginals: list[float]) -> list[float]:
-    total, most = sum(marginals), max(marginals, default=0.0)
-    return [1.0, math.log1p(total), most, math.log1p(100 * total / max(n, 1)), math.log1p(n) / 5]
+    total, (second, most) = sum(marginals), sorted([0.0, 0.0, *marginals])[-2:]
+    return [1.0, math.log1p(total), most, second, math.log1p(100 * total / max(n, 1)), math.log1p(n) / 5]
 
 
-def known_features(words: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
-    """Smoothed log-odds of the features that speak for toxicity with enough support."""
+def log_odds(a: np.ndarray, b: np.ndarray, a_all: int, b_all: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed log-odds of features in ``a`` toxic and ``b`` clean documents, and twice the log-likelihood ratio of it."""
+    odds = np.log((a + 0.3) / (a_all + 0.6)) - np.log((b + 0.3) / (b_all + 0.6))
+    share = (a + b) / (a_all + b_all)
+    evidence = 2 * (a * np.log(np.maximum(a, 1) / (share * a_all)) + b * np.log(np.maximum(b, 1) / (share * b_all)))
+    return odds, evidence
+
+
+def known_features(words: list[set[str]], toxic: np.ndarray) -> tuple[dict[str, float], set[str]]:
+    """Smoothed log-odds of the features that speak for toxicity with enough support, and which of them do strongly."""
     kinds = Counter(), Counter()
     for w, t in zip(words, toxic, strict=True):
         kinds[int(t)].update({f for x in w for f in features(x)})
-    a_all, b_all, out = int(toxic.sum()), int((~toxic).sum()), {}
-    for f, a in kinds[1].items():
-        b = kinds[0][f]
-        odds = math.log((a + 0.3) / (a_all + 0.6)) - math.log((b + 0.3) / (b_all + 0.6))
-        if a >= 3 and odds > 1.0 and a * odds > 5:
-            out[f] = odds
-    return out
+    names = list(kinds[1])
+    counts = np.array([[kinds[1][f], kinds[0][f]] for f in names], np.float64).reshape(-1, 2)
+    odds, evidence = log_odds(counts[:, 0], counts[:, 1], int(toxic.sum()), int((~toxic).sum()))
+    keep = np.flatnonzero((counts[:, 0] >= 3) & (odds > ODDS) & (evidence > EVIDENCE))
+    return {names[k]: float(odds[k]) for k in keep}, {names[k] for k in keep if evidence[k] > STRONG}
+
+
+def known_pairs(whole: list[np.ndarray], toxic: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbouring words (number of the first times ``n`` plus the second) that speak for toxicity by more than either word
+    alone, their log-odds, and which do strongly."""
+    def counts(kind: bool, of: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.unique(of(w.astype(np.int64))) for w, t in zip(whole, toxic, strict=True) if t == kind]
+        return np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
+
+    def both(of: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
+        (names, a), (others, clean) = counts(True, of), counts(False, of)
+        b = np.zeros(len(names))
+        b[np.isin(names, others)] = clean[np.isin(others, names)]
+        return names, a, *log_odds(a.astype(float), b, int(toxic.sum()), int((~toxic).sum()))
+
+    words, _, word_odds, _ = both(lambda w: w)
+    alone = np.full(n, -np.inf)
+    alone[words] = word_odds
+    names, a, odds, evidence = both(lambda w: w[:-1] * n + w[1:])
+    keep = (a >= 3) & (odds > np.maximum(ODDS, 0.7 + np.maximum(alone[names // n], alone[names % n]))) & (evidence > EVIDENCE)
+    return names[keep], odds[keep], evidence[keep] > STRONG
 
 
 class _Block:
@@ -237,16 +271,27 @@ def fit_field(texts: list[str], toxic: np.ndarray) -> Field:
     numbers: dict[str, int] = {}
     whole = [np.array([numbers.setdefault(w, len(numbers)) for w in _WORDS(lowered(t))], np.int32) for t in texts]
     names_of = list(numbers)
-    odds = known_features([{names_of[k] for k in np.unique(w).tolist()} for w in whole], toxic)
+    odds, certain = known_features([{names_of[k] for k in np.unique(w).tolist()} for w in whole], toxic)
+    pairs, pair_odds, pair_certain = known_pairs(whole, toxic, len(names_of))
     names = sorted(odds)
     number = {f: i for i, f in enumerate(names)}
-    strong = {number[f] for f, x in odds.items() if x > 2.5}
+    strong = {number[f] for f in certain} | {len(names) + i for i in np.flatnonzero(pair_certain).tolist()}
     known = [[number[f] for f in features(w) if f in number] for w in names_of]
-    cut = [(w[at : at + SEQUENCE], bool(t)) for w, t in zip(whole, toxic, strict=True) for at in range(0, len(w), SEQUENCE)]
+    first_pair, names = len(names), names + [f"{names_of[x // len(names_of)]} {names_of[x % len(names_of)]}" for x in pairs.tolist()]
+    odds |= dict(zip(names[first_pair:], pair_odds.tolist(), strict=True))
+
+    def described(w: np.ndarray) -> list[list[int]]:
+        out = [known[i] for i in w.tolist()]
+        together = w[:-1].astype(np.int64) * len(names_of) + w[1:]
+        for k in np.flatnonzero(np.isin(together, pairs)).tolist():
+            out[k + 1] = [*out[k + 1], first_pair + int(np.searchsorted(pairs, together[k]))]
+        return out
+
+    cut = [(x[at : at + SEQUENCE], bool(t)) for x, t in zip(map(described, whole), toxic, strict=True) for at in range(0, len(x), SEQUENCE)]
     if not names or not cut:
         return Field()
     cut.sort(key=lambda x: -len(x[0]))
-    blocks = [_Block([([known[i] for i in w.tolist()], t) for w, t in cut[at : at + _COLUMNS]], strong) for at in range(0, len(cut), _COLUMNS)]
+    blocks = [_Block(cut[at : at + _COLUMNS], strong) for at in range(0, len(cut), _COLUMNS)]
     weight = np.array([0.5 * min(4.0, odds[f]) for f in names])
     shape = np.array([-4.0, 0.0, 0.0, 0.0])  # bias, into, out of, stay
     moves, speed, before = np.concatenate((weight, shape)), np.full(len(names) + 4, 0.1), np.zeros(len(names) + 4)
@@ -298,7 +343,7 @@ def fit(rows: list[tuple[str, int]], prior: float) -> Model:
     half = np.zeros(len(rows), bool)
     for kind in (toxic, ~toxic):
         half[np.flatnonzero(kind)[::2]] = True
-    x = np.zeros((len(rows), 5))
+    x = np.zeros((len(rows), len(describe(0, []))))
     for side in (half, ~half):
         crf = fit_field([texts[k] for k in np.flatnonzero(side)], toxic[side])
         for k in np.flatnonzero(~side):

@@ -193,6 +193,22 @@ def test_no_row_is_made_for_a_pair_of_a_dense_group(spark, monkeypatch):
     assert max(n for _, n in made) <= 12 * len(rows) * tables and sum(n for name, n in made if name == "near-edges") < 600 * 599 / 8
 
 
+@pytest.mark.parametrize("copies", [300, 900])
+def test_edges_of_a_dense_group_are_in_proportion_to_its_rows(spark, copies):
+    """Each pair of the copies is a candidate; a table of keys hands on fewer edges than it has rows, and no pair is lost."""
+    rnd = random.Random(24)
+    words = [f"w{rnd.randrange(90_000)}" for _ in range(500)]
+    texts = [edited(words, [55 * p + rnd.randrange(50) for p in range(9)], rnd) for _ in range(copies)]
+    prints = np.array([simhash_gray.sketch(t, 5, 4) for t in texts]).view(np.int64).tolist()
+    classes = spark.createDataFrame([(k, *w) for k, w in enumerate(prints)], "rep long, w0 long, w1 long, w2 long, w3 long")
+    bits, tables = near_dedup.plan(copies)
+    found = near_dedup.table(near_dedup.search(classes, near_dedup.masks(bits, tables)), "near-found")
+    edges = {(r["a"], r["b"]) for r in found.where("b is not null").collect()}
+    members = found.where("b is null").count()
+    assert copies - 1 <= len(edges) < copies * tables and members <= copies * tables
+    assert (settle(np.arange(copies), *np.array(sorted(edges)).T) == 0).all()
+
+
 def test_rows_of_different_parts_meet_in_one_cell(spark):
     rnd = random.Random(23)
     rows = [(k, rnd.choice([0, 0, 0, k % 9, k]), *[rnd.randrange(3) for _ in range(4)]) for k in range(300)]

@@ -7,9 +7,9 @@ a key's expected number of rows doesn't grow; the tables follow from the recall
 Inside a key the Gray-order index drops whole nodes by their accumulated differences, and what differs in at most
 ``NEAR_BITS`` bits is a candidate. The word runs themselves decide over every candidate.
 
-A task hands on a spanning forest of its candidates, those of the fewest bits first, the ``FIRST`` closest of each row, and
-each group of candidates from which it left pairs out. After those are tested, a group whose members are all in one part
-needs no more. The members of the others meet once more with their texts, and all their candidates between different parts
+A task hands on a spanning forest of its candidates, those of the fewest bits first, and each group of candidates from which
+it left pairs out. So a key of n rows gives n - 1 edges at most, however many of them are candidates. After those are tested,
+a group whose members are all in one part needs no more. The members of the others meet once more with their texts, and all their candidates between different parts
 are tested where they meet, each under the first key that both share, so no row is made for a pair (``tested_in_cells``). A
 key with more than ``LIMIT`` rows is cut into blocks: the first search compares inside blocks only and counts the key as a
 group with pairs left out. Later a key of more than ``CELL`` rows is cut into blocks of which each two meet, but for those
@@ -45,7 +45,7 @@ WORDS, LIKE = 5, 0.8
 RECALL = 0.97
 PRINTS = 4
 BITS = 64 * PRINTS
-LIMIT, FIRST, CELL, PIECE = 4096, 8, 1024, 2048
+LIMIT, CELL, PIECE = 4096, 1024, 2048
 SEED = 9
 _RANGE = 1 << 18
 
@@ -136,18 +136,9 @@ def spanning_forest(n: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) ->
     return np.concatenate([np.zeros(0, np.int64), *chosen])
 
 
-def closest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, most: int) -> np.ndarray:
-    """Which of the links are among the ``most`` closest of either end."""
-    n, ends = len(a), np.concatenate([a, b])
-    order = np.lexsort((np.tile(apart, 2), ends))
-    opens = np.flatnonzero(np.diff(ends[order], prepend=-1))
-    rank = np.arange(2 * n) - np.repeat(opens, np.diff(np.append(opens, 2 * n)))
-    return np.unique(order[rank < most] % max(n, 1))
-
-
-def candidates(words: np.ndarray, starts: np.ndarray, part: np.ndarray, most: int, near_bits: int = NEAR_BITS):
-    """Positions (a, b) of a minimum spanning forest, by differing bits, of the candidates between parts and of the
-    ``most`` closest of each row; and for each row the group of candidates it is in, -1 where none was left out.
+def candidates(words: np.ndarray, starts: np.ndarray, part: np.ndarray, near_bits: int = NEAR_BITS):
+    """Positions (a, b) of a minimum spanning forest, by differing bits, of the candidates between parts; and for each
+    row the group of candidates it is in, -1 where none was left out.
 
     ``part``: numbered from 0.
     """
@@ -155,7 +146,7 @@ def candidates(words: np.ndarray, starts: np.ndarray, part: np.ndarray, most: in
     left, parts, full = np.zeros(len(part), bool), int(part.max(initial=-1)) + 1, 1 << 20
 
     def chosen() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keep = np.union1d(spanning_forest(parts, part[a], part[b], apart), closest(a, b, apart, most)).astype(np.int64)
+        keep = np.sort(spanning_forest(parts, part[a], part[b], apart))
         out = np.ones(len(a), bool)
         out[keep] = False
         left[a[out]] = left[b[out]] = True
@@ -173,7 +164,7 @@ def candidates(words: np.ndarray, starts: np.ndarray, part: np.ndarray, most: in
     return a, b, group
 
 
-def _search(most: int, near_bits: int):
+def _search(near_bits: int):
     """Edges (a, b), and rows (a, null, group) of the groups with pairs left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +181,7 @@ def _search(most: int, near_bits: int):
             home, rep, words = home[order], rep[order], words[:, order]
             part = np.unique(rep, return_inverse=True)[1]
             starts = np.flatnonzero(np.append(True, home[1:] != home[:-1]))
-            a, b, group = candidates(words, starts, part, most, near_bits)
+            a, b, group = candidates(words, starts, part, near_bits)
             ends = {"a": pa.array(rep[a], pa.int64()), "b": pa.array(rep[b], pa.int64())}
             yield pa.RecordBatch.from_pydict(ends | {"group": pa.nulls(len(a), pa.int64())})
             some = group >= 0
@@ -224,7 +215,7 @@ def keyed(classes: DataFrame, keys: np.ndarray, *carried: str) -> DataFrame:
     return classes.select(F.posexplode(F.array(*homes)).alias("key", "home"), *carried, *_NAMES)
 
 
-def search(classes: DataFrame, keys: np.ndarray, most: int = FIRST, limit: int = LIMIT, near_bits: int = NEAR_BITS) -> DataFrame:
+def search(classes: DataFrame, keys: np.ndarray, limit: int = LIMIT, near_bits: int = NEAR_BITS) -> DataFrame:
     """Edges and groups (see ``_search``) of ``classes`` (rep and the words)."""
     spark = classes.sparkSession
     ship(spark)
@@ -243,7 +234,7 @@ def search(classes: DataFrame, keys: np.ndarray, most: int = FIRST, limit: int =
         more = cut.select(F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), F.col("home").alias("group"))
         dealt = rows.join(hot, "home", "left_anti").select("home", *carried).union(blocks)
     dealt = dealt.repartition(shuffle_partitions(spark), "home").sortWithinPartitions("home")
-    found = dealt.mapInArrow(_search(most, near_bits), "a long, b long, group long")
+    found = dealt.mapInArrow(_search(near_bits), "a long, b long, group long")
     return found if more is None else found.union(more)
 
 
@@ -413,7 +404,7 @@ def alike(edges: DataFrame, texts: Callable[[DataFrame], DataFrame], least: floa
 def linked_classes(classes: DataFrame, texts: Callable[[DataFrame], DataFrame], recall: float = RECALL, limit: int = LIMIT, least: float = LIKE) -> DataFrame:
     """(node, component) of the ``rep`` of ``classes`` (rep and the words) that are alike to another."""
     keys = masks(*plan(classes.count(), recall))
-    found = table(search(classes, keys, FIRST, limit), "near-found")
+    found = table(search(classes, keys, limit), "near-found")
     good = table(alike(found.where("b is not null").select("a", "b"), texts, least), "near-alike")
     parts = table(connected_components(good), "near-parts").withColumnRenamed("node", "rep")
     members = found.where("b is null").select(F.col("a").alias("rep"), "group").distinct()
